@@ -132,7 +132,8 @@ def _with_job_facts(
     has rows without a key.  A short request list first cuts down jobs and steps.
     """
     asked = _requested_once(requests)
-    known = only_matching(named_jobs(jobs), asked, NAME_KEY, bound=requests)
+    keys = named_requests(requests)
+    known = only_matching(named_jobs(jobs), keys, NAME_KEY, bound=requests)
     own_steps = only_matching(steps, known, JOB_KEY, bound=requests)
     facts = known.join(step_facts(own_steps, guard), JOB_KEY, "left")
     return asked.join(facts, NAME_KEY, "left")
@@ -232,70 +233,95 @@ def _raise_if_refused(requests: DataFrame, checks: DataFrame) -> None:
             raise RequestError(reason, checks.where(F.col("reason") == reason))
 
 
-def _rewrite(
-    steps: DataFrame, changes: DataFrame, bound: DataFrame, reset_history: bool
+def _without_guard(
+    steps: DataFrame, changes: DataFrame, bound: DataFrame
 ) -> DataFrame:
-    """Apply one change per job to the step table; other jobs pass through.
-
-    ``changes`` says per job whether the two guard rows go and by how much the other
-    steps move.  Re-added steps start without run history.
-    """
-    columns = steps.columns
-    todo = changes.select(*JOB_KEY, "max_step_id", "_drop_guard", "_shift")
-    changed = F.col("_shift").isNotNull()
+    """Drop the guard rows of the changed jobs and move their other steps back."""
+    todo = changes.select(*JOB_KEY, "max_step_id", F.lit(-2).alias("_shift"))
     kept = join_steps(steps, todo, bound).where(
-        ~(F.coalesce("_drop_guard", F.lit(False)) & (F.col("step_id") <= 2))
+        F.col("_shift").isNull() | (F.col("step_id") > 2)
     )
-    moved = shift_flow(kept, F.coalesce("_shift", F.lit(0)))
-    if reset_history:
-        moved = moved.withColumns(
-            {c: F.when(~changed, F.col(c)) for c in columns if c in HISTORY_STEP_COLUMNS}
-        )
-    return moved.select(*columns)
-
-
-def _guard_rows(steps: DataFrame, changes: DataFrame, guard: Guard) -> DataFrame:
-    """The two guard steps of every changed job, in the columns of the step table."""
-    config = F.col("config_name")
-
-    def step(n: int, name: str, *flow: Column | int) -> Column:
-        values = [F.lit(n), F.lit(name), guard.command(n, config)]
-        values += [v if isinstance(v, Column) else F.lit(v) for v in flow]
-        labels = [
-            "step_id",
-            "step_name",
-            "command",
-            "on_success_action",
-            "on_success_step_id",
-            "on_fail_action",
-            "on_fail_step_id",
-        ]
-        return F.struct(*[v.alias(label) for v, label in zip(values, labels, strict=True)])
-
-    pair = F.array(
-        step(1, guard.step_1_name, fixed.GO_TO_STEP, F.col("_first_step"), fixed.GO_TO_STEP, 2),
-        step(2, guard.step_2_name, fixed.QUIT_WITH_SUCCESS, 0, fixed.QUIT_WITH_FAILURE, 0),
+    return shift_flow(kept, F.coalesce("_shift", F.lit(0))).select(*steps.columns)
+
+
+def _with_guard(
+    steps: DataFrame, changes: DataFrame, bound: DataFrame, guard: Guard
+) -> DataFrame:
+    """Put new guard rows in front of the changed jobs, in one pass over the steps.
+
+    The first step of a changed job brings the two guard rows along; rows of a guard
+    that was there before are left out.  Re-added steps start without run history.
+    """
+    todo = changes.select(
+        *JOB_KEY,
+        "max_step_id",
+        F.col("config_name").alias("_config"),
+        "_first_step",
+        "_had_guard",
     )
-    rows = changes.select(*JOB_KEY, F.explode(pair).alias("_step")).select(
-        *JOB_KEY, "_step.*"
+    is_changed = F.col("_had_guard").isNotNull()
+    had_guard = F.col("_had_guard")
+    step = F.col("step_id")
+
+    def rows(*numbers: int) -> Column:
+        return F.array(*[F.lit(n) for n in numbers])
+
+    # 0 is the step itself, 1 and 2 are the guard rows.
+    becomes = (
+        F.when(~is_changed, rows(0))
+        .when(step == 1, F.when(had_guard, rows(1, 2)).otherwise(rows(1, 2, 0)))
+        .when(had_guard & (step == 2), F.array().cast("array<int>"))
+        .otherwise(rows(0))
     )
-    constants = {
-        "subsystem": F.lit("TSQL"),
-        "database_name": F.lit(guard.database),
-        "flags": F.lit(0),
-        "cmdexec_success_code": F.lit(0),
-        "retry_attempts": F.lit(0),
-        "retry_interval": F.lit(0),
-        "os_run_priority": F.lit(0),
-    }
-    return rows.select(
-        *[
-            (F.col(c) if c in rows.columns else constants.get(c, F.lit(None)))
-            .cast(steps.schema[c].dataType)
+    joined = join_steps(steps, todo, bound).withColumn("_row", F.explode(becomes))
+
+    shift = F.when(is_changed & ~had_guard, F.lit(2)).otherwise(F.lit(0))
+    own = {c: F.col(c) for c in steps.columns}
+    own["step_id"] = step + shift
+    own["on_success_step_id"] = _moved("on_success_step_id", shift)
+    own["on_fail_step_id"] = _moved("on_fail_step_id", shift)
+    for c in HISTORY_STEP_COLUMNS:
+        if c in own:
+            own[c] = F.when(~is_changed, F.col(c))
+
+    def value(c: str) -> Column:
+        if c in JOB_KEY:
+            return F.col(c)
+        first, second = _guard_values(guard).get(c, (F.lit(None), F.lit(None)))
+        kind = steps.schema[c].dataType
+        return (
+            F.when(F.col("_row") == 0, own[c])
+            .when(F.col("_row") == 1, first.cast(kind))
+            .otherwise(second.cast(kind))
             .alias(c)
-            for c in steps.columns
-        ]
-    )
+        )
+
+    return joined.select(*[value(c) for c in steps.columns])
+
+
+def _guard_values(guard: Guard) -> dict[str, tuple[Column, Column]]:
+    """Columns of the two guard rows; any other column is null in them."""
+
+    def both(value: int | str) -> tuple[Column, Column]:
+        return F.lit(value), F.lit(value)
+
+    config = F.col("_config")
+    return {
+        "step_id": (F.lit(1), F.lit(2)),
+        "step_name": (F.lit(guard.step_1_name), F.lit(guard.step_2_name)),
+        "subsystem": both("TSQL"),
+        "command": (guard.command(1, config), guard.command(2, config)),
+        "on_success_action": (F.lit(fixed.GO_TO_STEP), F.lit(fixed.QUIT_WITH_SUCCESS)),
+        "on_success_step_id": (F.col("_first_step"), F.lit(0)),
+        "on_fail_action": (F.lit(fixed.GO_TO_STEP), F.lit(fixed.QUIT_WITH_FAILURE)),
+        "on_fail_step_id": (F.lit(2), F.lit(0)),
+        "database_name": both(guard.database),
+        "flags": both(0),
+        "cmdexec_success_code": both(0),
+        "retry_attempts": both(0),
+        "retry_interval": both(0),
+        "os_run_priority": both(0),
+    }
 
 
 def _restart(jobs: DataFrame, changes: DataFrame, bound: DataFrame) -> DataFrame:
@@ -329,17 +355,15 @@ def install_guard_steps(
         *JOB_KEY,
         "config_name",
         "max_step_id",
-        F.col("is_guarded").alias("_drop_guard"),
-        F.when(F.col("is_guarded"), F.lit(0)).otherwise(F.lit(2)).alias("_shift"),
+        F.col("is_guarded").alias("_had_guard"),
         F.when(F.col("is_guarded"), F.col("step_1_target"))
         .otherwise(F.col("start_step_id") + 2)
         .alias("_first_step"),
         F.lit(1).alias("_new_start"),
     )
-    rewritten = _rewrite(steps, changes, bound=requests, reset_history=True)
     return Flow(
-        steps=rewritten.unionByName(_guard_rows(steps, changes, guard)),
-        jobs=_restart(jobs, changes, bound=requests),
+        steps=_with_guard(steps, changes, requests, guard),
+        jobs=_restart(jobs, changes, requests),
         checks=checks,
     )
 
@@ -357,15 +381,11 @@ def remove_guard_steps(
     if strict:
         _raise_if_refused(requests, checks)
     changes = plan.where(F.col("reason") == OK).select(
-        *JOB_KEY,
-        "max_step_id",
-        F.lit(True).alias("_drop_guard"),
-        F.lit(-2).alias("_shift"),
-        (F.col("step_1_target") - 2).alias("_new_start"),
+        *JOB_KEY, "max_step_id", (F.col("step_1_target") - 2).alias("_new_start")
     )
     return Flow(
-        steps=_rewrite(steps, changes, bound=requests, reset_history=False),
-        jobs=_restart(jobs, changes, bound=requests),
+        steps=_without_guard(steps, changes, requests),
+        jobs=_restart(jobs, changes, requests),
         checks=checks,
     )
 

@@ -13,8 +13,13 @@ from guardwork.schemas import require
 
 
 def _documents(events: DataFrame) -> DataFrame:
+    """Events with the fields of their document.
+
+    The document is unpacked by a generator, not by field access: filters on its
+    fields then stay above the generator, and each document is parsed exactly once.
+    """
     return require(events, "grant_events").select(
-        "event_id", "server_id", "event_xml", event_document("event_xml").alias("_doc")
+        "event_id", "server_id", "event_xml", F.inline(F.array(event_document("event_xml")))
     )
 
 
@@ -25,8 +30,8 @@ def grantees(events: DataFrame) -> DataFrame:
         .select(
             "event_id",
             "server_id",
-            F.col("_doc.EventType").alias("event_type"),
-            F.explode("_doc.Grantees.Grantee").alias("grantee"),
+            F.col("EventType").alias("event_type"),
+            F.explode("Grantees.Grantee").alias("grantee"),
         )
         .select("event_id", "server_id", "event_type", grantee_name("grantee").alias("grantee"))
         .where(F.col("grantee").isNotNull())
@@ -37,7 +42,7 @@ def broken_events(events: DataFrame) -> DataFrame:
     """Events whose document cannot be read; ``grantees`` has no rows for them."""
     return (
         _documents(events)
-        .where(F.col("event_xml").isNull() | F.col("_doc._corrupt_record").isNotNull())
+        .where(F.col("event_xml").isNull() | F.col("_corrupt_record").isNotNull())
         .select("event_id", "server_id", "event_xml")
     )
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Adaptive execution merges small shuffle partitions, splits skewed ones and turns
-# shuffle joins into broadcasts when a side turns out small.
+# shuffle joins into broadcasts when a side turns out small.  Where every partition of
+# one side is small it hashes that side, so the wide side of the join is not sorted.
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
