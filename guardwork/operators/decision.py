@@ -103,6 +103,7 @@ def _config_roles(
         roles,
         ["server_id", "database_id"],
         spread=["_config"],
+        bound=databases,
     )
 
 
@@ -135,17 +136,20 @@ def _run_reason(mode: str) -> Column:
     )
 
 
-def _ask(requests: DataFrame, states: DataFrame) -> DataFrame:
-    """Give each request the state of its config, by one lookup."""
-    asked = require(requests, "requests").withColumn("_config", ci("config_name"))
-    return lookup(asked, states, ["server_id", "_config"], spread=["job_name"])
+def _ask(
+    asked: DataFrame, states: DataFrame, run_config: DataFrame, spread: list[str]
+) -> DataFrame:
+    """Give each row the state of its config, by one lookup; one state per config."""
+    named = asked.withColumn("_config", ci("config_name"))
+    return lookup(named, states, ["server_id", "_config"], spread, bound=run_config)
 
 
 def config_check(
     requests: DataFrame, run_config: DataFrame, databases: DataFrame
 ) -> DataFrame:
     """The check of guard step 2: config and driver database exist, or the reason."""
-    asked = _ask(requests, _config_databases(run_config, databases))
+    states = _config_databases(run_config, databases)
+    asked = _ask(require(requests, "requests"), states, run_config, ["job_name"])
     reason = _config_reason().otherwise(OK)
     return asked.select(
         *requests.columns, "driver_database", reason.alias("reason")
@@ -163,7 +167,7 @@ def run_decision(
     """The check of guard step 1: step 2's check, then whether the job runs here."""
     states = _config_roles(run_config, databases, replica_states, db_replica_states)
     return (
-        _ask(requests, states)
+        _ask(require(requests, "requests"), states, run_config, ["job_name"])
         .select(
             *requests.columns,
             "driver_database",
@@ -202,7 +206,7 @@ def run_outcome(
     server both guard steps fail, so the job fails.
     """
     states = _config_roles(run_config, databases, replica_states, db_replica_states)
-    asked = _ask(requests, states)
+    asked = _ask(require(requests, "requests"), states, run_config, ["job_name"])
     outcome = (
         F.when(_run_reason(mode) == OK, "run")
         .when(_config_reason().isNull(), "skipped")
@@ -230,12 +234,8 @@ def status_check(
     step id, also null, is refused.
     """
     states = _config_roles(run_config, databases, replica_states, db_replica_states)
-    asked = lookup(
-        calls.withColumn("_config", ci("config_name")),
-        states,
-        ["server_id", "_config"],
-        spread=[c for c in calls.columns if c != "server_id"],
-    )
+    others = [c for c in calls.columns if c != "server_id"]
+    asked = _ask(calls, states, run_config, others)
     known_step = F.coalesce(F.col("step_id").isin(1, 2), F.lit(False))
     reason = (
         F.when(~known_step, BAD_STEP_ID)

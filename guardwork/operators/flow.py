@@ -87,13 +87,6 @@ def shift_flow(steps: DataFrame, k: Column | int) -> DataFrame:
 
 def step_facts(steps: DataFrame, guard: Guard = DEFAULT_GUARD) -> DataFrame:
     """What the checks need to know of each job's steps: numbers only, one scan."""
-
-    def into_guard(target: str) -> Column:
-        return F.col(target).isin(1, 2)
-
-    kept_into_guard = (F.col("step_id") > 2) & (
-        into_guard("on_success_step_id") | into_guard("on_fail_step_id")
-    )
     return (
         require(steps, "steps")
         .groupBy(*JOB_KEY)
@@ -102,10 +95,12 @@ def step_facts(steps: DataFrame, guard: Guard = DEFAULT_GUARD) -> DataFrame:
             F.max("step_id").alias("max_step_id"),
             F.max(guard.is_step_1()).alias("has_guard_1"),
             F.max(guard.is_step_2()).alias("has_guard_2"),
-            F.max(F.when(F.col("step_id") == 1, F.col("on_success_step_id"))).alias(
+            F.expr("max(CASE WHEN step_id = 1 THEN on_success_step_id END)").alias(
                 "step_1_target"
             ),
-            F.max(kept_into_guard).alias("targets_guard"),
+            F.expr(
+                "max(step_id > 2 AND (on_success_step_id IN (1, 2) OR on_fail_step_id IN (1, 2)))"
+            ).alias("targets_guard"),
         )
     )
 
@@ -139,15 +134,34 @@ def _with_job_facts(
     return asked.join(facts, NAME_KEY, "left")
 
 
-def _removal_reason(reason: Column) -> Column:
-    """The reasons against removing a guard, after those already in ``reason``."""
-    no_start_left = F.coalesce(F.col("step_1_target") < 3, F.lit(True))
-    return (
-        reason.when(~F.coalesce("has_guard_1", F.lit(False)), BAD_STEP_1)
-        .when(~F.coalesce("has_guard_2", F.lit(False)), BAD_STEP_2)
-        .when(F.col("start_step_id") != 1, BAD_START)
-        .when(F.col("targets_guard") | no_start_left, DANGLING_TARGET)
-    )
+# The first condition that holds gives the reason.
+_REQUEST_RULES = [
+    ("n_requests > 1", DUPLICATE_REQUEST),
+    ("job_id IS NULL", MISSING_JOB),
+    ("n_steps IS NULL", NO_STEPS),
+    ("_config_found IS NULL", MISSING_CONFIG),
+    ("contains(config_name, chr(39))", QUOTE_IN_CONFIG),
+    ("n_steps <> max_step_id", STEP_GAPS),
+]
+_REMOVAL_RULES = [
+    ("has_guard_2 IS NOT TRUE", BAD_STEP_2),
+    ("start_step_id <> 1", BAD_START),
+    ("targets_guard OR step_1_target < 3", DANGLING_TARGET),
+]
+_INSTALL_RULES = _REQUEST_RULES + [
+    (f"has_guard_1 AND ({rule})", reason) for rule, reason in _REMOVAL_RULES
+]
+_REMOVE_RULES = [
+    *_REQUEST_RULES[:2],
+    ("has_guard_1 IS NOT TRUE", BAD_STEP_1),
+    *_REMOVAL_RULES,
+    ("n_steps <> max_step_id", STEP_GAPS),
+]
+
+
+def _first_reason(rules: list[tuple[str, str]]) -> Column:
+    cases = " ".join(f"WHEN {rule} THEN '{reason}'" for rule, reason in rules)
+    return F.expr(f"CASE {cases} ELSE '{OK}' END")
 
 
 def install_check(
@@ -180,19 +194,7 @@ def _install_plan(
         ["server_id", "_config"],
         spread=["_job"],
     )
-    guarded = F.coalesce("has_guard_1", F.lit(False))
-    reason = (
-        F.when(F.col("n_requests") > 1, DUPLICATE_REQUEST)
-        .when(F.col("job_id").isNull(), MISSING_JOB)
-        .when(F.col("n_steps").isNull(), NO_STEPS)
-        .when(F.col("_config_found").isNull(), MISSING_CONFIG)
-        .when(F.col("config_name").contains("'"), QUOTE_IN_CONFIG)
-        .when(F.col("n_steps") != F.col("max_step_id"), STEP_GAPS)
-        .when(~guarded, OK)
-    )
-    return found.withColumn("reason", _removal_reason(reason).otherwise(OK)).withColumn(
-        "is_guarded", guarded
-    )
+    return found.withColumn("reason", _first_reason(_INSTALL_RULES))
 
 
 def remove_check(
@@ -211,13 +213,7 @@ def _remove_plan(
     requests: DataFrame, jobs: DataFrame, steps: DataFrame, guard: Guard
 ) -> DataFrame:
     asked = _with_job_facts(requests.select("server_id", "job_name"), jobs, steps, guard)
-    reason = F.when(F.col("n_requests") > 1, DUPLICATE_REQUEST).when(
-        F.col("job_id").isNull(), MISSING_JOB
-    )
-    gaps = F.col("n_steps") != F.col("max_step_id")
-    return asked.withColumn(
-        "reason", _removal_reason(reason).when(gaps, STEP_GAPS).otherwise(OK)
-    )
+    return asked.withColumn("reason", _first_reason(_REMOVE_RULES))
 
 
 def _raise_if_refused(requests: DataFrame, checks: DataFrame) -> None:
@@ -238,20 +234,25 @@ def _without_guard(
 ) -> DataFrame:
     """Drop the guard rows of the changed jobs and move their other steps back."""
     todo = changes.select(*JOB_KEY, "max_step_id", F.lit(-2).alias("_shift"))
-    kept = join_steps(steps, todo, bound).where(
-        F.col("_shift").isNull() | (F.col("step_id") > 2)
-    )
+    kept = join_steps(steps, todo, bound).where("_shift IS NULL OR step_id > 2")
     return shift_flow(kept, F.coalesce("_shift", F.lit(0))).select(*steps.columns)
 
 
+# What a step becomes: 0 is the step itself, 1 and 2 are new guard rows.  The first
+# step of a changed job brings the guard along; rows of an earlier guard are left out.
+_BECOMES = """
+    CASE WHEN _had_guard IS NULL THEN array(0)
+         WHEN step_id = 1 AND _had_guard THEN array(1, 2)
+         WHEN step_id = 1 THEN array(1, 2, 0)
+         WHEN step_id = 2 AND _had_guard THEN CAST(array() AS array<int>)
+         ELSE array(0) END
+"""
+
+
 def _with_guard(
     steps: DataFrame, changes: DataFrame, bound: DataFrame, guard: Guard
 ) -> DataFrame:
-    """Put new guard rows in front of the changed jobs, in one pass over the steps.
-
-    The first step of a changed job brings the two guard rows along; rows of a guard
-    that was there before are left out.  Re-added steps start without run history.
-    """
+    """Put new guard rows in front of the changed jobs, in one pass over the steps."""
     todo = changes.select(
         *JOB_KEY,
         "max_step_id",
@@ -259,68 +260,56 @@ def _with_guard(
         "_first_step",
         "_had_guard",
     )
-    is_changed = F.col("_had_guard").isNotNull()
-    had_guard = F.col("_had_guard")
-    step = F.col("step_id")
-
-    def rows(*numbers: int) -> Column:
-        return F.array(*[F.lit(n) for n in numbers])
-
-    # 0 is the step itself, 1 and 2 are the guard rows.
-    becomes = (
-        F.when(~is_changed, rows(0))
-        .when(step == 1, F.when(had_guard, rows(1, 2)).otherwise(rows(1, 2, 0)))
-        .when(had_guard & (step == 2), F.array().cast("array<int>"))
-        .otherwise(rows(0))
-    )
-    joined = join_steps(steps, todo, bound).withColumn("_row", F.explode(becomes))
+    joined = join_steps(steps, todo, bound).withColumn("_row", F.explode(F.expr(_BECOMES)))
 
-    shift = F.when(is_changed & ~had_guard, F.lit(2)).otherwise(F.lit(0))
-    own = {c: F.col(c) for c in steps.columns}
-    own["step_id"] = step + shift
-    own["on_success_step_id"] = _moved("on_success_step_id", shift)
-    own["on_fail_step_id"] = _moved("on_fail_step_id", shift)
+    shift = "CASE WHEN _had_guard THEN 0 WHEN NOT _had_guard THEN 2 ELSE 0 END"
+    own = {c: c for c in steps.columns}
+    own["step_id"] = f"step_id + {shift}"
+    for c in ("on_success_step_id", "on_fail_step_id"):
+        own[c] = f"CASE WHEN {c} = 0 THEN 0 ELSE {c} + {shift} END"
     for c in HISTORY_STEP_COLUMNS:
-        if c in own:
-            own[c] = F.when(~is_changed, F.col(c))
+        own[c] = f"CASE WHEN _had_guard IS NULL THEN {c} END"
+    rows = _guard_rows(guard)
 
-    def value(c: str) -> Column:
+    def value(c: str) -> str:
         if c in JOB_KEY:
-            return F.col(c)
-        first, second = _guard_values(guard).get(c, (F.lit(None), F.lit(None)))
-        kind = steps.schema[c].dataType
+            return c
+        first, second = rows.get(c, ("NULL", "NULL"))
+        kind = steps.schema[c].dataType.simpleString()
         return (
-            F.when(F.col("_row") == 0, own[c])
-            .when(F.col("_row") == 1, first.cast(kind))
-            .otherwise(second.cast(kind))
-            .alias(c)
+            f"CASE _row WHEN 0 THEN {own[c]} WHEN 1 THEN CAST({first} AS {kind}) "
+            f"ELSE CAST({second} AS {kind}) END AS {c}"
         )
 
-    return joined.select(*[value(c) for c in steps.columns])
+    return joined.selectExpr(*[value(c) for c in steps.columns])
+
 
+def _guard_rows(guard: Guard) -> dict[str, tuple[str, str]]:
+    """Columns of the two guard rows, as SQL; any other column is null in them."""
 
-def _guard_values(guard: Guard) -> dict[str, tuple[Column, Column]]:
-    """Columns of the two guard rows; any other column is null in them."""
+    def text(value: str) -> str:
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
 
-    def both(value: int | str) -> tuple[Column, Column]:
-        return F.lit(value), F.lit(value)
+    def command(n: int) -> str:
+        before, after = guard.command_parts(n)
+        return f"concat({text(before)}, _config, {text(after)})"
 
-    config = F.col("_config")
     return {
-        "step_id": (F.lit(1), F.lit(2)),
-        "step_name": (F.lit(guard.step_1_name), F.lit(guard.step_2_name)),
-        "subsystem": both("TSQL"),
-        "command": (guard.command(1, config), guard.command(2, config)),
-        "on_success_action": (F.lit(fixed.GO_TO_STEP), F.lit(fixed.QUIT_WITH_SUCCESS)),
-        "on_success_step_id": (F.col("_first_step"), F.lit(0)),
-        "on_fail_action": (F.lit(fixed.GO_TO_STEP), F.lit(fixed.QUIT_WITH_FAILURE)),
-        "on_fail_step_id": (F.lit(2), F.lit(0)),
-        "database_name": both(guard.database),
-        "flags": both(0),
-        "cmdexec_success_code": both(0),
-        "retry_attempts": both(0),
-        "retry_interval": both(0),
-        "os_run_priority": both(0),
+        "step_id": ("1", "2"),
+        "step_name": (text(guard.step_1_name), text(guard.step_2_name)),
+        "subsystem": ("'TSQL'", "'TSQL'"),
+        "command": (command(1), command(2)),
+        "on_success_action": (f"{fixed.GO_TO_STEP}", f"{fixed.QUIT_WITH_SUCCESS}"),
+        "on_success_step_id": ("_first_step", "0"),
+        "on_fail_action": (f"{fixed.GO_TO_STEP}", f"{fixed.QUIT_WITH_FAILURE}"),
+        "on_fail_step_id": ("2", "0"),
+        "database_name": (text(guard.database), text(guard.database)),
+        "flags": ("0", "0"),
+        "cmdexec_success_code": ("0", "0"),
+        "retry_attempts": ("0", "0"),
+        "retry_interval": ("0", "0"),
+        "os_run_priority": ("0", "0"),
     }
 
 
@@ -351,15 +340,13 @@ def install_guard_steps(
     checks = plan.select("server_id", "job_name", "config_name", "job_id", "reason")
     if strict:
         _raise_if_refused(requests, checks)
-    changes = plan.where(F.col("reason") == OK).select(
+    changes = plan.where(F.col("reason") == OK).selectExpr(
         *JOB_KEY,
         "config_name",
         "max_step_id",
-        F.col("is_guarded").alias("_had_guard"),
-        F.when(F.col("is_guarded"), F.col("step_1_target"))
-        .otherwise(F.col("start_step_id") + 2)
-        .alias("_first_step"),
-        F.lit(1).alias("_new_start"),
+        "coalesce(has_guard_1, false) AS _had_guard",
+        "CASE WHEN has_guard_1 THEN step_1_target ELSE start_step_id + 2 END AS _first_step",
+        "1 AS _new_start",
     )
     return Flow(
         steps=_with_guard(steps, changes, requests, guard),

@@ -32,12 +32,9 @@ class Guard:
     def is_step_2(self) -> Column:
         return (F.col("step_id") == 2) & same_name("step_name", self.step_2_name)
 
-    def command(self, step: int, config: Column) -> Column:
-        return F.concat(
-            F.lit(f"{self.command_head}{step} , {self.marker}"),
-            config,
-            F.lit(self.command_tail),
-        )
+    def command_parts(self, step: int) -> tuple[str, str]:
+        """The text of a guard command before and after the config name."""
+        return f"{self.command_head}{step} , {self.marker}", self.command_tail
 
 
 DEFAULT_GUARD = Guard(database="DBA")

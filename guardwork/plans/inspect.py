@@ -8,21 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def plan_text(df: DataFrame) -> str:
-    """The formatted plan; after an action on ``df`` it is the adaptive final plan."""
-    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(
-        "formatted"
-    )
-    return df._jdf.queryExecution().explainString(mode)
+    """The physical plan; after an action on ``df`` it is the adaptive final plan."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
 
 
-def operators(df: DataFrame) -> list[str]:
-    """Operator names of the initial plan, from top to bottom."""
-    text = plan_text(df)
-    tree = text.split("\n\n\n")[0]
-    initial = tree.split("== Initial Plan ==")[-1]
-    return re.findall(r"(?:[-+:\s]|\*)*([A-Z][A-Za-z]+(?: [A-Za-z]+)*)[^\n]* \(\d+\)", initial)
-
-
-def count_operators(df: DataFrame, name: str) -> int:
-    """How many operators of the initial plan start with the given name."""
-    return sum(op.startswith(name) for op in operators(df))
+def count_nodes(df: DataFrame, name: str) -> int:
+    """How many operators of the plan start with the given name."""
+    return len(re.findall(rf"(?m)^[\s:+*()\d-]*{name}\b", plan_text(df)))

@@ -41,16 +41,20 @@ def lookup(
     on: Sequence[str],
     spread: Sequence[str],
     how: str = "left",
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a table of names: left, inner, left_semi or left_anti.
 
+    Where the table is itself the result of joins, its size estimate is useless; then
+    ``bound`` names a stored table that holds at least as many rows.
+
     A table below the broadcast threshold is broadcast.  A larger one is shuffled
     with a salt in the key: rows take a salt from the ``spread`` columns, the table
     is repeated once per salt, and a name that a third of the rows ask for (or rows
     that have no name at all) is divided over ``SALTS`` tasks.
     """
     on = list(on)
-    if fits_broadcast(table):
+    if fits_broadcast(table if bound is None else bound):
         return rows.join(F.broadcast(table), on, how)
     salted_rows = rows.withColumn(
         "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(SALTS)).cast("int")

@@ -188,8 +188,10 @@ class DerivedFleet:
             .otherwise(F.col("r_name"))
             .alias("config_name"),
         )
-        unknown = self.spark.sql(
-            "SELECT 3L AS server_id, 'No such job' AS job_name, 'ASIA' AS config_name"
+        unknown = self.given("nation").where("n_nationkey = 3").select(
+            F.col("n_nationkey").cast("bigint").alias("server_id"),
+            F.lit("No such job").alias("job_name"),
+            F.lit("ASIA").alias("config_name"),
         )
         return wanted.unionByName(unknown)
 
