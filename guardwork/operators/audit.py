@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guardwork import fixed
@@ -77,6 +77,16 @@ def guard_steps_found(
     )
 
 
+def _last_start(jobs: DataFrame, steps: DataFrame) -> Column:
+    """The highest step any job can start on, as a scalar subquery over two numbers.
+
+    A job starts on its start step or, if guarded, on the target of its first step.
+    """
+    of_jobs = jobs.select(F.max("start_step_id")).scalar()
+    of_guards = steps.where(F.col("step_id") == 1).select(F.max("on_success_step_id")).scalar()
+    return F.greatest(of_jobs, of_guards)
+
+
 def guard_audit(
     jobs: DataFrame,
     steps: DataFrame,
@@ -86,7 +96,8 @@ def guard_audit(
     """One row per job: guard status, config and the step the job really starts on.
 
     The config is looked up while rows are still narrow.  The start step is joined on
-    (server, job, step), so a job with very many steps is spread over the tasks.
+    (server, job, step), so a job with very many steps is spread over the tasks; steps
+    behind every possible start step are dropped before they are shuffled.
     """
     configs = require(run_config, "run_config").select(
         "server_id",
@@ -119,7 +130,7 @@ def guard_audit(
         "run_if_ungrouped",
         "real_start_step_id",
     )
-    starts = steps.select(
+    starts = steps.where(F.col("step_id") <= _last_start(jobs, steps)).select(
         *JOB_KEY,
         F.col("step_id").alias("real_start_step_id"),
         F.col("step_name").alias("real_start_step_name"),

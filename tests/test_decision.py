@@ -23,7 +23,9 @@ def server(table):
         (1, "GONE", "nowhere", True),
     )
     databases = table("databases", (1, 5, "PRIM"), (1, 6, "sec"), (1, 7, "alone"))
-    roles = table("replica_states", (1, 1, 1, "PRIMARY"), (1, 1, 2, "SECONDARY"), (1, 2, 2, "PRIMARY"))
+    roles = table(
+        "replica_states", (1, 1, 1, "PRIMARY"), (1, 1, 2, "SECONDARY"), (1, 2, 2, "PRIMARY")
+    )
     replicas = table(
         "db_replica_states", (1, 1, 1, 5, True), (1, 1, 2, 6, True), (1, 2, 2, 6, False)
     )
@@ -67,7 +69,8 @@ def test_unknown_mode_is_refused(asked, server):
 
 def test_three_end_states(asked, server):
     assert by_config(run_outcome(asked, *server), "outcome") == {
-        "p": "run", "s": "skipped", "u1": "run", "u0": "skipped", "gone": "failed", "none": "failed",
+        "p": "run", "s": "skipped", "u1": "run", "u0": "skipped",
+        "gone": "failed", "none": "failed",
     }
 
 
@@ -88,7 +91,8 @@ def test_guard_calls(spark, server):
         "server_id bigint, step_id int, config_name string",
     )
     answers = {
-        (r.step_id, r.config_name): (r.reason, r.passed) for r in status_check(calls, *server).collect()
+        (r.step_id, r.config_name): (r.reason, r.passed)
+        for r in status_check(calls, *server).collect()
     }
     assert answers == {
         (1, "s"): ("not_here", False),

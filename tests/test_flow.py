@@ -22,18 +22,18 @@ def same(a, b):
 
 @pytest.fixture
 def one_step_job(table):
-    jobs = table("jobs", (1, 7, "AGDemo - Simple Job", 1))
+    jobs = table("jobs", (1, 7, "Demo - Simple Job", 1))
     steps = table(
         "steps", (1, 7, 1, "Run SSIS Package", "SSIS", "dtexec", 1, 0, 2, 0, "master")
     )
-    requests = table("requests", (1, "AGDemo - Simple Job", "AGDemo"))
-    config = table("run_config", (1, "AGDemo", "Sales", True))
+    requests = table("requests", (1, "Demo - Simple Job", "Demo"))
+    config = table("run_config", (1, "Demo", "Sales", True))
     return requests, jobs, steps, config
 
 
 def test_one_step_job(one_step_job):
     flow = ops.install_guard_steps(*one_step_job, guard=HOME)
-    command = fixed.GUARD_COMMAND_HEAD + "{} , " + fixed.CONFIG_MARKER + "AGDemo'\t"
+    command = fixed.GUARD_COMMAND_HEAD + "{} , " + fixed.CONFIG_MARKER + "Demo'\t"
     assert rows(flow.steps, *[c.split()[0] for c in TABLES["steps"].split(", ")]) == [
         (1, 7, 1, S1, "TSQL", command.format(1), 4, 3, 4, 2, "DBA"),
         (1, 7, 2, S2, "TSQL", command.format(2), 1, 0, 2, 0, "DBA"),
@@ -70,7 +70,8 @@ def test_quotes_in_guard_texts(one_step_job):
     flow = ops.install_guard_steps(*one_step_job, guard=guard)
     found = rows(flow.steps, "step_id", "step_name", "database_name")
     assert found[:2] == [(1, "It's \\ 1", "D'B"), (2, "It's 2", "D'B")]
-    assert rows(ops.remove_check(one_step_job[0], flow.jobs, flow.steps, guard), "reason") == [("ok",)]
+    checks = ops.remove_check(one_step_job[0], flow.jobs, flow.steps, guard)
+    assert rows(checks, "reason") == [("ok",)]
 
 
 @pytest.fixture(scope="module")
@@ -155,7 +156,8 @@ def mixed(table):
     """A guarded job and one job for each reason against a change."""
     names = [
         (1, "fine", 1), (2, "plain", 1), (3, "renamed", 1), (4, "moved", 2),
-        (5, "into guard", 1), (6, "no start", 1), (7, "gaps", 1), (8, "empty", 1), (9, "not asked", 1),
+        (5, "into guard", 1), (6, "no start", 1), (7, "gaps", 1), (8, "empty", 1),
+        (9, "not asked", 1),
     ]
     jobs = table("jobs", *[(1, i, n, s) for i, n, s in names])
     steps = (
@@ -206,15 +208,16 @@ def test_refused_jobs_stay_as_they_were(mixed):
         assert same(flow.steps.where("job_id <> 1"), steps.where("job_id <> 1"))
         assert same(flow.jobs.where("job_id <> 1"), jobs.where("job_id <> 1"))
     assert flow.steps.where("job_id = 1").count() == 2
-    assert rows(flow.steps.where("job_id = 1"), "step_id", "step_name") == [(1, "work"), (2, "more")]
+    left = rows(flow.steps.where("job_id = 1"), "step_id", "step_name")
+    assert left == [(1, "work"), (2, "more")]
 
 
 def test_config_names_with_quotes_are_refused(table, one_step_job):
     _, jobs, steps, _ = one_step_job
-    requests = table("requests", (1, "AGDemo - Simple Job", "it's"))
+    requests = table("requests", (1, "Demo - Simple Job", "it's"))
     config = table("run_config", (1, "it's", "Sales", True))
     assert reasons(ops.install_check(requests, jobs, steps, config)) == {
-        "agdemo - simple job": "quote_in_config"
+        "demo - simple job": "quote_in_config"
     }
 
 

@@ -19,7 +19,11 @@ def grant(*names, kind=fixed.GRANT_EVENT):
 @pytest.fixture
 def principals(table):
     return table(
-        "principals", (1, "ann", "S"), (1, "DOM\\bob", "U"), (1, "readers", "R"), (2, "readers", "S")
+        "principals",
+        (1, "ann", "S"),
+        (1, "DOM\\bob", "U"),
+        (1, "readers", "R"),
+        (2, "readers", "S"),
     )
 
 

@@ -22,8 +22,8 @@ def test_lookup_divides_a_hot_name(spark, no_broadcast):
         F.when(F.col("id") % 3 < 2, "hot").otherwise(F.col("id").cast("string")).alias("_name"),
     )
     rows = rows.unionByName(rows.withColumn("_name", F.lit(None).cast("string")))
-    table = rows.where("id % 6 = 2 OR id = 0").where("_name IS NOT NULL").select("server_id", "_name")
-    table = table.distinct().withColumn("found", F.lit(True))
+    named = rows.where("_name IS NOT NULL AND (id % 6 = 2 OR id = 0)")
+    table = named.select("server_id", "_name").distinct().withColumn("found", F.lit(True))
     for how in ("left", "inner", "left_semi", "left_anti"):
         salted = joins.lookup(rows, table, ["server_id", "_name"], ["id"], how)
         plain = rows.join(F.broadcast(table), ["server_id", "_name"], how)
@@ -44,12 +44,14 @@ def hot_job(table, spark, monkeypatch):
         "server_id", "job_id", "concat('Job ', job_id) AS job_name", "1 AS start_step_id"
     )
     steps = lengths.withColumn("step_id", F.explode(F.sequence(F.lit(1), "n"))).selectExpr(
-        "server_id", "job_id", "step_id", "concat('s', step_id) AS step_name", "'TSQL' AS subsystem",
-        "'x' AS command", "IF(step_id < n, 4, 1) AS on_success_action",
+        "server_id", "job_id", "step_id", "concat('s', step_id) AS step_name",
+        "'TSQL' AS subsystem", "'x' AS command", "IF(step_id < n, 4, 1) AS on_success_action",
         "IF(step_id < n, step_id + 1, 0) AS on_success_step_id", "2 AS on_fail_action",
         "0 AS on_fail_step_id", "'DBA' AS database_name",
     )
-    requests = jobs.where("job_id % 2 = 0").selectExpr("server_id", "job_name", "'A' AS config_name")
+    requests = jobs.where("job_id % 2 = 0").selectExpr(
+        "server_id", "job_name", "'A' AS config_name"
+    )
     return requests, jobs, steps, table("run_config", (1, "A", "Sales", True))
 
 
@@ -92,9 +94,8 @@ def test_long_job_is_previewed_whole(hot_job, no_broadcast):
 def test_hot_order_is_numbered_like_a_plain_window(spark, small):
     """A third of all lines on one order, numbered as one sorted list would be."""
     lines = spark.read.parquet(f"{small}/lineitem.parquet").select("l_orderkey", *LINE_ORDER)
-    lines = lines.withColumn(
-        "l_orderkey", F.when(F.col("l_partkey") % 3 == 0, 1).otherwise(F.col("l_orderkey")).cast("bigint")
-    )
+    hot = F.when(F.col("l_partkey") % 3 == 0, 1).otherwise(F.col("l_orderkey"))
+    lines = lines.withColumn("l_orderkey", hot.cast("bigint"))
     orders = lines.select("l_orderkey").distinct().withColumn("server_id", F.lit(1))
     numbered = number_lines(lines, orders).select("l_orderkey", *LINE_ORDER, "rn", "n").collect()
 

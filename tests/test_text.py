@@ -2,9 +2,10 @@
 
 import pytest
 
+from guardwork.fixed import CONFIG_MARKER
 from guardwork.functions import ci, config_name
 
-M = "@AGRunConfigName = '"
+M = CONFIG_MARKER
 
 
 @pytest.mark.parametrize(
