@@ -247,21 +247,22 @@ _BECOMES = """
          WHEN step_id = 2 AND _had_guard THEN CAST(array() AS array<int>)
          ELSE array(0) END
 """
+# For listings: -1 is the step as it was before.
+_BEFORE_AND_AFTER = f"concat(array(-1), {_BECOMES})"
+
+# What the rewrite needs to know of a requested job; a null flag leaves the job alone.
+_CHANGE = [
+    "config_name AS _config",
+    "CASE WHEN has_guard_1 THEN step_1_target ELSE start_step_id + 2 END AS _first_step",
+    f"CASE WHEN reason = '{OK}' THEN coalesce(has_guard_1, false) END AS _had_guard",
+]
 
 
-def _with_guard(
-    steps: DataFrame, changes: DataFrame, bound: DataFrame, guard: Guard
-) -> DataFrame:
-    """Put new guard rows in front of the changed jobs, in one pass over the steps."""
-    todo = changes.select(
-        *JOB_KEY,
-        "max_step_id",
-        F.col("config_name").alias("_config"),
-        "_first_step",
-        "_had_guard",
-    )
-    joined = join_steps(steps, todo, bound).withColumn("_row", F.explode(F.expr(_BECOMES)))
+def _row_columns(steps: DataFrame, guard: Guard) -> dict[str, str]:
+    """SQL for each step column of the row named by ``_row``.
 
+    Re-added steps start without run history.
+    """
     shift = "CASE WHEN _had_guard THEN 0 WHEN NOT _had_guard THEN 2 ELSE 0 END"
     own = {c: c for c in steps.columns}
     own["step_id"] = f"step_id + {shift}"
@@ -272,16 +273,24 @@ def _with_guard(
     rows = _guard_rows(guard)
 
     def value(c: str) -> str:
-        if c in JOB_KEY:
-            return c
         first, second = rows.get(c, ("NULL", "NULL"))
         kind = steps.schema[c].dataType.simpleString()
         return (
-            f"CASE _row WHEN 0 THEN {own[c]} WHEN 1 THEN CAST({first} AS {kind}) "
-            f"ELSE CAST({second} AS {kind}) END AS {c}"
+            f"CASE _row WHEN -1 THEN {c} WHEN 0 THEN {own[c]} "
+            f"WHEN 1 THEN CAST({first} AS {kind}) ELSE CAST({second} AS {kind}) END"
         )
 
-    return joined.selectExpr(*[value(c) for c in steps.columns])
+    return {c: c if c in JOB_KEY else value(c) for c in steps.columns}
+
+
+def _with_guard(
+    steps: DataFrame, plan: DataFrame, bound: DataFrame, guard: Guard
+) -> DataFrame:
+    """Put new guard rows in front of the accepted jobs, in one pass over the steps."""
+    todo = plan.where(F.col("reason") == OK).selectExpr(*JOB_KEY, "max_step_id", *_CHANGE)
+    joined = join_steps(steps, todo, bound).withColumn("_row", F.explode(F.expr(_BECOMES)))
+    columns = _row_columns(steps, guard)
+    return joined.selectExpr(*[f"{sql} AS {c}" for c, sql in columns.items()])
 
 
 def _guard_rows(guard: Guard) -> dict[str, tuple[str, str]]:
@@ -340,17 +349,10 @@ def install_guard_steps(
     checks = plan.select("server_id", "job_name", "config_name", "job_id", "reason")
     if strict:
         _raise_if_refused(requests, checks)
-    changes = plan.where(F.col("reason") == OK).selectExpr(
-        *JOB_KEY,
-        "config_name",
-        "max_step_id",
-        "coalesce(has_guard_1, false) AS _had_guard",
-        "CASE WHEN has_guard_1 THEN step_1_target ELSE start_step_id + 2 END AS _first_step",
-        "1 AS _new_start",
-    )
+    starts = plan.where(F.col("reason") == OK).select(*JOB_KEY, F.lit(1).alias("_new_start"))
     return Flow(
-        steps=_with_guard(steps, changes, requests, guard),
-        jobs=_restart(jobs, changes, requests),
+        steps=_with_guard(steps, plan, requests, guard),
+        jobs=_restart(jobs, starts, requests),
         checks=checks,
     )
 
@@ -377,27 +379,6 @@ def remove_guard_steps(
     )
 
 
-def _requested_jobs(requests: DataFrame, jobs: DataFrame) -> DataFrame:
-    asked = named_requests(requests).select(*NAME_KEY, "job_name")
-    return asked.join(named_jobs(jobs), NAME_KEY).select(
-        *JOB_KEY, "job_name", "start_step_id"
-    )
-
-
-def _listing(
-    requests: DataFrame, jobs: DataFrame, steps: DataFrame, phase: str
-) -> DataFrame:
-    """The steps of the requested jobs; a job without steps is listed with nulls."""
-    extents = steps.groupBy(*JOB_KEY).agg(F.max("step_id").alias("max_step_id"))
-    listed = _requested_jobs(requests, jobs).join(extents, JOB_KEY, "left")
-    has_steps = F.col("max_step_id").isNotNull()
-    stepped = join_steps(steps, listed.where(has_steps), bound=requests, how="inner")
-    stepless = listed.where(~has_steps).drop("max_step_id")
-    return stepped.unionByName(stepless, allowMissingColumns=True).withColumn(
-        "phase", F.lit(phase)
-    )
-
-
 def install_preview(
     requests: DataFrame,
     jobs: DataFrame,
@@ -407,12 +388,28 @@ def install_preview(
 ) -> DataFrame:
     """The requested jobs before and after an install, by job name and step.
 
-    Nothing is written; the phase column tells the two listings apart.
+    Nothing is written; the phase column tells the two listings apart.  Both come from
+    one pass over the steps.  A job without steps is listed with nulls.
     """
-    own = only_matching(steps, _requested_jobs(requests, jobs), JOB_KEY, bound=requests)
-    flow = install_guard_steps(requests, jobs, own, run_config, guard)
-    before = _listing(requests, jobs, own, "before")
-    after = _listing(requests, flow.jobs, flow.steps, "after")
-    return before.unionByName(after).orderBy(
+    known = _install_plan(requests, jobs, steps, run_config, guard).where("job_id IS NOT NULL")
+    listed = known.selectExpr(
+        *JOB_KEY, "job_name", "start_step_id", "max_step_id", *_CHANGE
+    )
+    has_steps = F.col("max_step_id").isNotNull()
+    rows = join_steps(steps, listed.where(has_steps), requests, how="inner").withColumn(
+        "_row", F.explode(F.expr(_BEFORE_AND_AFTER))
+    )
+    columns = _row_columns(steps, guard)
+    stepped = rows.selectExpr(
+        *JOB_KEY,
+        "job_name",
+        "CASE WHEN _row = -1 OR _had_guard IS NULL THEN start_step_id ELSE 1 END AS start_step_id",
+        *[f"{sql} AS {c}" for c, sql in columns.items() if c not in JOB_KEY],
+        "CASE _row WHEN -1 THEN 'before' ELSE 'after' END AS phase",
+    )
+    stepless = listed.where(~has_steps).selectExpr(
+        *JOB_KEY, "job_name", "start_step_id", "explode(array('before', 'after')) AS phase"
+    )
+    return stepped.unionByName(stepless, allowMissingColumns=True).orderBy(
         F.desc("phase"), "job_name", "server_id", "step_id"
     )
