@@ -24,16 +24,12 @@ def _documents(events: DataFrame) -> DataFrame:
 
 
 def grantees(events: DataFrame) -> DataFrame:
-    """One row per grantee of each event, whatever the type of the event."""
+    """One row per grantee of each grant event; other events are passed over."""
     return (
         _documents(events)
-        .select(
-            "event_id",
-            "server_id",
-            F.col("EventType").alias("event_type"),
-            F.explode("Grantees.Grantee").alias("grantee"),
-        )
-        .select("event_id", "server_id", "event_type", grantee_name("grantee").alias("grantee"))
+        .where(F.col("EventType") == fixed.GRANT_EVENT)
+        .select("event_id", "server_id", F.explode("Grantees.Grantee").alias("grantee"))
+        .select("event_id", "server_id", grantee_name("grantee").alias("grantee"))
         .where(F.col("grantee").isNotNull())
     )
 
@@ -58,11 +54,7 @@ def direct_grants(events: DataFrame, principals: DataFrame) -> DataFrame:
         .where(F.col("principal_type").isin(*fixed.USER_TYPES))
         .select("server_id", ci("principal_name").alias("_name"))
     )
-    named = (
-        grantees(events)
-        .where(F.col("event_type") == fixed.GRANT_EVENT)
-        .select("event_id", "server_id", ci("grantee").alias("_name"))
-    )
+    named = grantees(events).select("event_id", "server_id", ci("grantee").alias("_name"))
     return (
         lookup(named, users, ["server_id", "_name"], spread=["event_id"], how="left_semi")
         .select("event_id", "server_id")

@@ -272,11 +272,11 @@ FROM jobs_installed j
 LEFT JOIN guarded_checked p USING (server_id, job_id)
 
 -- query: grantees
-SELECT event_id, server_id,
-  regexp_extract(event_xml, '<EventType>([^<]*)</EventType>', 1) AS event_type, grantee
+SELECT event_id, server_id, grantee
 FROM (
   SELECT *, unnest(regexp_extract_all(event_xml, '<Grantee>([^<]*)</Grantee>', 1)) AS grantee
   FROM grant_events
+  WHERE regexp_extract(event_xml, '<EventType>([^<]*)</EventType>', 1) = 'GRANT_DATABASE'
 )
 WHERE grantee <> ''
 
