@@ -216,16 +216,16 @@ def _remove_plan(
     return asked.withColumn("reason", _first_reason(_REMOVE_RULES))
 
 
-def _raise_if_refused(requests: DataFrame, checks: DataFrame) -> None:
+def _raise_if_refused(checks: DataFrame) -> None:
     """Strict mode: report the batch's first problem, with all requests that have it.
 
-    Only the counts per reason come to the driver, at most one row for each reason.
+    Only the distinct reasons come to the driver, at most one row for each.
     """
-    counts = {row.reason for row in checks.groupBy("reason").count().collect()}
-    if not counts:
+    found = {row.reason for row in checks.select("reason").distinct().collect()}
+    if not found:
         raise RequestError("empty", None)
     for reason in REASONS:
-        if reason in counts:
+        if reason in found:
             raise RequestError(reason, checks.where(F.col("reason") == reason))
 
 
@@ -264,7 +264,7 @@ def _row_columns(steps: DataFrame, guard: Guard) -> dict[str, str]:
     Re-added steps start without run history.
     """
     shift = "CASE WHEN _had_guard THEN 0 WHEN NOT _had_guard THEN 2 ELSE 0 END"
-    own = {c: c for c in steps.columns}
+    own = {c: f"`{c}`" for c in steps.columns}
     own["step_id"] = f"step_id + {shift}"
     for c in ("on_success_step_id", "on_fail_step_id"):
         own[c] = f"CASE WHEN {c} = 0 THEN 0 ELSE {c} + {shift} END"
@@ -273,14 +273,16 @@ def _row_columns(steps: DataFrame, guard: Guard) -> dict[str, str]:
     rows = _guard_rows(guard)
 
     def value(c: str) -> str:
-        first, second = rows.get(c, ("NULL", "NULL"))
-        kind = steps.schema[c].dataType.simpleString()
-        return (
-            f"CASE _row WHEN -1 THEN {c} WHEN 0 THEN {own[c]} "
-            f"WHEN 1 THEN CAST({first} AS {kind}) ELSE CAST({second} AS {kind}) END"
-        )
+        if c in JOB_KEY:
+            return c
+        case = f"CASE _row WHEN -1 THEN `{c}` WHEN 0 THEN {own[c]}"
+        if c in rows:
+            first, second = rows[c]
+            kind = steps.schema[c].dataType.simpleString()
+            case += f" WHEN 1 THEN CAST({first} AS {kind}) WHEN 2 THEN CAST({second} AS {kind})"
+        return f"{case} END"
 
-    return {c: c if c in JOB_KEY else value(c) for c in steps.columns}
+    return {c: value(c) for c in steps.columns}
 
 
 def _with_guard(
@@ -290,7 +292,7 @@ def _with_guard(
     todo = plan.where(F.col("reason") == OK).selectExpr(*JOB_KEY, "max_step_id", *_CHANGE)
     joined = join_steps(steps, todo, bound).withColumn("_row", F.explode(F.expr(_BECOMES)))
     columns = _row_columns(steps, guard)
-    return joined.selectExpr(*[f"{sql} AS {c}" for c, sql in columns.items()])
+    return joined.selectExpr(*[f"{sql} AS `{c}`" for c, sql in columns.items()])
 
 
 def _guard_rows(guard: Guard) -> dict[str, tuple[str, str]]:
@@ -348,7 +350,7 @@ def install_guard_steps(
     plan = _install_plan(requests, jobs, steps, run_config, guard)
     checks = plan.select("server_id", "job_name", "config_name", "job_id", "reason")
     if strict:
-        _raise_if_refused(requests, checks)
+        _raise_if_refused(checks)
     starts = plan.where(F.col("reason") == OK).select(*JOB_KEY, F.lit(1).alias("_new_start"))
     return Flow(
         steps=_with_guard(steps, plan, requests, guard),
@@ -368,7 +370,7 @@ def remove_guard_steps(
     plan = _remove_plan(requests, jobs, steps, guard)
     checks = plan.select("server_id", "job_name", "job_id", "reason")
     if strict:
-        _raise_if_refused(requests, checks)
+        _raise_if_refused(checks)
     changes = plan.where(F.col("reason") == OK).select(
         *JOB_KEY, "max_step_id", (F.col("step_1_target") - 2).alias("_new_start")
     )
@@ -404,7 +406,7 @@ def install_preview(
         *JOB_KEY,
         "job_name",
         "CASE WHEN _row = -1 OR _had_guard IS NULL THEN start_step_id ELSE 1 END AS start_step_id",
-        *[f"{sql} AS {c}" for c, sql in columns.items() if c not in JOB_KEY],
+        *[f"{sql} AS `{c}`" for c, sql in columns.items() if c not in JOB_KEY],
         "CASE _row WHEN -1 THEN 'before' ELSE 'after' END AS phase",
     )
     stepless = listed.where(~has_steps).selectExpr(

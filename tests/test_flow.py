@@ -50,6 +50,7 @@ def test_full_step_table_keeps_settings_and_loses_history(spark, one_step_job):
     requests, jobs, steps, config = one_step_job
     for name, kind in {**CARRIED_STEP_COLUMNS, **HISTORY_STEP_COLUMNS}.items():
         steps = steps.withColumn(name, F.lit(9).cast(kind))
+    steps = steps.withColumn("owner's note", F.array(F.struct(F.lit("n").alias("x"))))
     flow = ops.install_guard_steps(requests, jobs, steps, config, HOME)
     assert flow.steps.schema.simpleString() == steps.schema.simpleString()
     by_step = {r.step_id: r.asDict() for r in flow.steps.collect()}
@@ -57,6 +58,7 @@ def test_full_step_table_keeps_settings_and_loses_history(spark, one_step_job):
         assert str(by_step[3][name]) == "9"
     for name in HISTORY_STEP_COLUMNS:
         assert by_step[3][name] is None
+    assert [by_step[n]["owner's note"] is None for n in (1, 2, 3)] == [True, True, False]
     zero = {"flags", "cmdexec_success_code", "retry_attempts", "retry_interval", "os_run_priority"}
     for n in (1, 2):
         for name in {**CARRIED_STEP_COLUMNS, **HISTORY_STEP_COLUMNS}:
