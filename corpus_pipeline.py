@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from guardwork.llm import byte_bpe, mixing, quality_rules, secret_scan
+from guardwork.llm import byte_bpe, mixing, near_duplicates, quality_rules, secret_scan
 from guardwork.llm.queries import BYTE_RANKS
 from guardwork.llm.shared import ship_package, stored, table
 
@@ -25,6 +25,16 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality_rules.quality_filter(docs, forest)
 
 
+#: Stages on word shingles take five words.
+SHINGLE_WORDS = 5
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each group of near-duplicates."""
+    ship_package(spark)
+    return near_duplicates.without_near_duplicates(docs, SHINGLE_WORDS)
+
+
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces each secret by the name of its kind; no document goes."""
     ship_package(spark)
@@ -46,6 +56,7 @@ def with_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", good_documents),
+    ("MinHash near-dedup", one_of_each),
     ("secret scans", without_secrets),
     ("mixing", mixed),
     ("byte-level BPE", with_token_ids),

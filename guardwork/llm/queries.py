@@ -8,12 +8,25 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from guardwork.llm import byte_bpe, mixing, quality_rules, secret_scan, token_files, warc
+from guardwork.llm import (
+    byte_bpe,
+    metric_tree,
+    mixing,
+    near_duplicates,
+    quality_rules,
+    secret_scan,
+    site_quality,
+    suffix_repeats,
+    token_files,
+    warc,
+)
 from guardwork.llm.shared import ship_package, table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+SHINGLE_WORDS = 4
+REPEAT_BYTES = 400
 
 
 def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +54,26 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_report(table(spark, sf_dir, "documents"), path, END_ID)
 
 
+def near_duplicates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS)
+
+
+def site_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts are the sources, and a source's languages its paths."""
+    docs = table(spark, sf_dir, "documents")
+    evidence = site_quality.fit_evidence(docs, table(spark, sf_dir, "labels"))
+    return site_quality.site_quality(docs, evidence, "source", "lang")
+
+
+def metric_tree_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return metric_tree.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64)
+
+
+def suffix_repeats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.repeats_report(table(spark, sf_dir, "documents"), REPEAT_BYTES)
+
+
 def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
@@ -60,10 +93,14 @@ def shipped(query: Query) -> Query:
 _QUERIES: dict[str, Query] = {
     "op1_byte_bpe": byte_bpe_query,
     "op2_weighted_mix": mix_query,
+    "op3_near_duplicates": near_duplicates_query,
     "op4_quality_rules": quality_rules_query,
     "op5_secrets": secrets_query,
     "op6_token_files": token_files_query,
+    "op7_site_quality": site_quality_query,
+    "op8_metric_tree": metric_tree_query,
     "op9_warc": warc_query,
+    "op10_suffix_repeats": suffix_repeats_query,
 }
 
 LLM_QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
