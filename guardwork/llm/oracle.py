@@ -3,13 +3,13 @@
 #: Each pair of a query vector and another one; the rows come out in any order.
 _TOP_K = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(CAST(x AS DOUBLE))]) = 0
 ),
 scores AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
   FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
   WHERE q.vec_id % 20 = 0
 ),

@@ -62,6 +62,7 @@ FEATURES = {
     "digits_per_char": 0,
     "upper_per_char": 0,
     "distinct_words_per_word": 0,
+    "stutters_per_word": -1,
 }
 
 
@@ -143,6 +144,7 @@ def block_statistics(block: Block) -> dict[str, np.ndarray]:
     line_first, _ = _first_of_kind(line_text, range_hashes(prefix_hashes(data), line_starts, line_ends))
 
     word_first, _ = _first_of_kind(words.text, hashes)
+    stutters = (hashes[1:] == hashes[:-1]) & (words.text[1:] == words.text[:-1])
     return {
         "n_words": np.diff(words.first),
         "word_chars": _per_text(chars, words.text, n),
@@ -153,6 +155,7 @@ def block_statistics(block: Block) -> dict[str, np.ndarray]:
         "n_digits": _in_texts(_DIGIT[data], block),
         "n_upper": _in_texts(_UPPER[data], block),
         "n_distinct": _per_text(word_first, words.text, n),
+        "n_stutters": _per_text(stutters, words.text[1:], n),
     }
 
 
@@ -176,6 +179,7 @@ def features_of(s: dict[str, np.ndarray]) -> np.ndarray:
             s["n_digits"] / chars,
             s["n_upper"] / chars,
             s["n_distinct"] / words,
+            s["n_stutters"] / words,
         ]
     )
 

@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from guardwork.llm.quality_rules import features_of, statistics_of
+from guardwork.llm.quality_rules import FEATURES, features_of, statistics_of
 from guardwork.llm.shared import stored
 from guardwork.llm.words import blocks, text_bytes, word_hashes, words_of
 
 #: Labelled documents that the classifier is fitted on at most, the smallest hashes of their ids.
-FIT_ROWS = 6_000
+FIT_ROWS = 10_000
 #: Words that the classifier weighs, those that tell the kinds apart best.
 MOST_WORDS = 2_000
 LEAST_DOCUMENTS = 5
@@ -83,7 +83,7 @@ def distinct_words(texts: list[bytes]) -> list[np.ndarray]:
 
 def fit(texts: list[bytes], good: np.ndarray, steps: int = 300, penalty: float = 1e-3) -> Evidence:
     """Logistic regression by accelerated gradient steps."""
-    x = features_of(statistics_of(texts)) if texts else np.zeros((0, 8))
+    x = features_of(statistics_of(texts)) if texts else np.zeros((0, len(FEATURES)))
     centre = x.mean(axis=0) if len(x) else np.zeros(x.shape[1])
     spread = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(x.shape[1])
     none = np.zeros(0)
@@ -106,19 +106,19 @@ def fit(texts: list[bytes], good: np.ndarray, steps: int = 300, penalty: float =
         at = np.searchsorted(words, s)
         at = at[(at < len(words)) & (words[np.minimum(at, max(len(words) - 1, 0))] == s)] if len(words) else at[:0]
         present[i, at] = 1
-    z = np.column_stack((present, (x - centre) / spread, np.ones(len(x)))).astype(np.float64)
+    z = np.column_stack((present, ((x - centre) / spread).astype(np.float32), np.ones(len(x), np.float32)))
     # Both kinds weigh the same, so that rare bad documents count.
-    weight = np.where(good, 0.5 / share, 0.5 / (1 - share)) / len(good)
-    rate = 4 / max(float(((z * z).sum(axis=1) * weight).sum()), 1e-9)
-    w = ahead = np.zeros(z.shape[1])
+    weight = (np.where(good, 0.5 / share, 0.5 / (1 - share)) / len(good)).astype(np.float32)
+    rate = np.float32(4 / max(float(np.einsum("ij,ij->i", z, z) @ weight), 1e-9))
+    w = ahead = np.zeros(z.shape[1], np.float32)
     for step in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ ahead, -30, 30)))
-        new = ahead - rate * (z.T @ (weight * (p - good)) + penalty / len(good) * ahead)
-        ahead = new + step / (step + 3) * (new - w)
+        new = ahead - rate * ((weight * (p - good)) @ z + np.float32(penalty / len(good)) * ahead)
+        ahead = new + np.float32(step / (step + 3)) * (new - w)
         w = new
     n = len(words)
     base = float(w[-1] + np.log(share / (1 - share)))
-    return Evidence(words, w[:n], centre, spread, w[n:-1], base)
+    return Evidence(words, w[:n].astype(float), centre, spread, w[n:-1].astype(float), base)
 
 
 def fit_evidence(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Evidence:
