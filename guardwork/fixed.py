@@ -46,3 +46,6 @@ FULLTEXT_TABLES = (
 
 # Our own status: a guard is there by name, but its command holds no config name.
 STATUS_UNREADABLE = "Error-Guard command holds no readable config name"
+
+# Our own status: several configs have the name, so none of them is meant.
+STATUS_CONFIG_AMBIGUOUS = "Error-Several configs of this name"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: characters of an object name.
 NAME_LENGTH = 128
 
 EVENT_SCHEMA = (

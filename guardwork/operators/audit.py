@@ -77,14 +77,31 @@ def guard_steps_found(
     )
 
 
-def _last_start(jobs: DataFrame, steps: DataFrame) -> Column:
-    """The highest step any job can start on, as a scalar subquery over two numbers.
+# Different step numbers that jobs start on, up to which steps are compared with the list.
+MOST_STARTS = 1_000
 
-    A job starts on its start step or, if guarded, on the target of its first step.
+
+def _may_be_start(jobs: DataFrame, steps: DataFrame, guard: Guard) -> Column:
+    """Is the step's number one that some job starts on?  A scalar subquery over the numbers.
+
+    A job starts on its start step or, if guarded, on the target of its first step.  Most
+    jobs start on one of a few numbers; a job that starts far behind adds its own number
+    only.  With more than ``MOST_STARTS`` numbers every step may be a start.
     """
-    of_jobs = jobs.select(F.max("start_step_id")).scalar()
-    of_guards = steps.where(F.col("step_id") == 1).select(F.max("on_success_step_id")).scalar()
-    return F.greatest(of_jobs, of_guards)
+    of_jobs = jobs.select(F.col("start_step_id").cast("bigint").alias("start"))
+    of_guards = steps.where(guard.is_step_1()).select(
+        F.col("on_success_step_id").cast("bigint").alias("start")
+    )
+    starts = (
+        of_jobs.union(of_guards)
+        .where("start IS NOT NULL")
+        .distinct()
+        .limit(MOST_STARTS + 1)
+        .select(F.collect_list("start").alias("starts"))
+        .scalar()
+    )
+    listed = F.array_contains(starts, F.col("step_id").cast("bigint"))
+    return (F.size(starts) > MOST_STARTS) | listed
 
 
 def guard_audit(
@@ -96,17 +113,23 @@ def guard_audit(
     """One row per job: guard status, config and the step the job really starts on.
 
     The config is looked up while rows are still narrow.  The start step is joined on
-    (server, job, step), so a job with very many steps is spread over the tasks; steps
-    behind every possible start step are dropped before they are shuffled.
+    (server, job, step), so a job with very many steps is spread over the tasks; steps on
+    whose number no job starts are dropped before they are shuffled.
     """
-    configs = require(run_config, "run_config").select(
-        "server_id",
-        ci("config_name").alias("_config"),
-        "driver_database",
-        "run_if_ungrouped",
+    configs = (
+        require(run_config, "run_config")
+        .groupBy("server_id", ci("config_name").alias("_config"))
+        .agg(
+            F.min("driver_database").alias("driver_database"),
+            F.min("run_if_ungrouped").alias("run_if_ungrouped"),
+            F.count(F.lit(1)).alias("_configs"),
+        )
+        .withColumns(
+            {c: F.when(F.col("_configs") == 1, F.col(c)) for c in ("driver_database", "run_if_ungrouped")}
+        )
     )
     found = guard_steps_found(jobs, steps, guard).withColumn("_config", ci("config_name"))
-    with_config = lookup(found, configs, ["server_id", "_config"], spread=JOB_KEY)
+    with_config = lookup(found, configs, ["server_id", "_config"], spread=JOB_KEY, bound=run_config)
 
     second = ci("config_name_step_2")
     no_guard = F.col("guard_1_name").isNull() | (
@@ -117,7 +140,8 @@ def guard_audit(
         F.when(no_guard, fixed.STATUS_NOT_SET_UP)
         .when(F.col("start_step_id") != 1, fixed.STATUS_BYPASSED)
         .when(unreadable, fixed.STATUS_UNREADABLE)
-        .when(F.col("driver_database").isNull(), fixed.STATUS_CONFIG_MISSING)
+        .when(F.col("_configs").isNull(), fixed.STATUS_CONFIG_MISSING)
+        .when(F.col("_configs") > 1, fixed.STATUS_CONFIG_AMBIGUOUS)
         .when(second.isNull() | (F.col("_config") != second), fixed.STATUS_NOT_SAME_CONFIG)
         .otherwise(fixed.STATUS_CONFIGURED)
     )
@@ -130,7 +154,7 @@ def guard_audit(
         "run_if_ungrouped",
         "real_start_step_id",
     )
-    starts = steps.where(F.col("step_id") <= _last_start(jobs, steps)).select(
+    starts = steps.where(_may_be_start(jobs, steps, guard)).select(
         *JOB_KEY,
         F.col("step_id").alias("real_start_step_id"),
         F.col("step_name").alias("real_start_step_name"),

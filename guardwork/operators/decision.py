@@ -19,6 +19,8 @@ OK = "ok"
 BAD_STEP_ID = "bad_step_id"
 CONFIG_MISSING = "config_missing"
 DATABASE_MISSING = "database_missing"
+AMBIGUOUS_CONFIG = "ambiguous_config"
+AMBIGUOUS_DATABASE = "ambiguous_database"
 AMBIGUOUS_ROLE = "ambiguous_role"
 NOT_HERE = "not_here"
 
@@ -73,18 +75,24 @@ def local_replica_role(
 
 def _config_databases(run_config: DataFrame, databases: DataFrame) -> DataFrame:
     """Per config: its lookup key and whether its driver database is on the server."""
-    present = require(databases, "databases").select(
-        "server_id", ci("database_name").alias("_database"), "database_id"
+    present = (
+        require(databases, "databases")
+        .groupBy("server_id", ci("database_name").alias("_database"))
+        .agg(F.min("database_id").alias("database_id"), F.count(F.lit(1)).alias("_databases"))
     )
-    configs = require(run_config, "run_config").select(
-        "server_id",
-        ci("config_name").alias("_config"),
-        ci("driver_database").alias("_database"),
-        "driver_database",
-        "run_if_ungrouped",
+    configs = (
+        require(run_config, "run_config")
+        .groupBy("server_id", ci("config_name").alias("_config"))
+        .agg(
+            F.min("driver_database").alias("driver_database"),
+            F.min("run_if_ungrouped").alias("run_if_ungrouped"),
+            F.count(F.lit(1)).alias("_configs"),
+        )
+        .withColumn("driver_database", F.when(F.col("_configs") == 1, F.col("driver_database")))
+        .withColumn("_database", ci("driver_database"))
     )
     return lookup(
-        configs, present, ["server_id", "_database"], spread=["_config"]
+        configs, present, ["server_id", "_database"], spread=["_config"], bound=databases
     ).drop("_database")
 
 
@@ -108,8 +116,11 @@ def _config_roles(
 
 
 def _config_reason() -> Column:
-    return F.when(F.col("driver_database").isNull(), CONFIG_MISSING).when(
-        F.col("database_id").isNull(), DATABASE_MISSING
+    return (
+        F.when(F.col("_configs") > 1, AMBIGUOUS_CONFIG)
+        .when(F.col("driver_database").isNull(), CONFIG_MISSING)
+        .when(F.col("database_id").isNull(), DATABASE_MISSING)
+        .when(F.col("_databases") > 1, AMBIGUOUS_DATABASE)
     )
 
 

@@ -26,9 +26,12 @@ from guardwork.schemas import HISTORY_STEP_COLUMNS, JOB_KEY, require
 OK = "ok"
 DUPLICATE_REQUEST = "duplicate_request"
 MISSING_JOB = "missing_job"
+AMBIGUOUS_JOB = "ambiguous_job"
 NO_STEPS = "no_steps"
 MISSING_CONFIG = "missing_config"
+AMBIGUOUS_CONFIG = "ambiguous_config"
 QUOTE_IN_CONFIG = "quote_in_config"
+REPEATED_STEPS = "repeated_steps"
 STEP_GAPS = "step_gaps"
 BAD_STEP_1 = "bad_step_1"
 BAD_STEP_2 = "bad_step_2"
@@ -39,9 +42,12 @@ DANGLING_TARGET = "dangling_target"
 REASONS = [
     DUPLICATE_REQUEST,
     MISSING_JOB,
+    AMBIGUOUS_JOB,
     NO_STEPS,
     MISSING_CONFIG,
+    AMBIGUOUS_CONFIG,
     QUOTE_IN_CONFIG,
+    REPEATED_STEPS,
     STEP_GAPS,
     BAD_STEP_1,
     BAD_STEP_2,
@@ -86,23 +92,33 @@ def shift_flow(steps: DataFrame, k: Column | int) -> DataFrame:
 
 
 def step_facts(steps: DataFrame, guard: Guard = DEFAULT_GUARD) -> DataFrame:
-    """What the checks need to know of each job's steps: numbers only, one scan."""
-    return (
+    """What the checks need to know of each job's steps: numbers only, one scan.
+
+    Rows of one step id are counted first, so that repeats are found exactly; that also
+    divides a job with very many steps over the tasks.
+    """
+    into_guard = "step_id > 2 AND (on_success_step_id IN (1, 2) OR on_fail_step_id IN (1, 2))"
+    per_step = (
         require(steps, "steps")
-        .groupBy(*JOB_KEY)
+        .groupBy(*JOB_KEY, "step_id")
         .agg(
-            F.count(F.lit(1)).alias("n_steps"),
-            F.max("step_id").alias("max_step_id"),
-            F.max(guard.is_step_1()).alias("has_guard_1"),
-            F.max(guard.is_step_2()).alias("has_guard_2"),
-            F.expr("max(CASE WHEN step_id = 1 THEN on_success_step_id END)").alias(
-                "step_1_target"
-            ),
-            F.expr(
-                "max(step_id > 2 AND (on_success_step_id IN (1, 2) OR on_fail_step_id IN (1, 2)))"
-            ).alias("targets_guard"),
+            F.count(F.lit(1)).alias("_rows"),
+            F.max(guard.is_step_1()).alias("_guard_1"),
+            F.max(guard.is_step_2()).alias("_guard_2"),
+            F.expr("max(CASE WHEN step_id = 1 THEN on_success_step_id END)").alias("_target"),
+            F.expr(f"max({into_guard})").alias("_into_guard"),
         )
     )
+    return per_step.groupBy(*JOB_KEY).agg(
+        F.sum("_rows").alias("n_steps"),
+        F.min("step_id").alias("min_step_id"),
+        F.max("step_id").alias("max_step_id"),
+        (F.max("_rows") > 1).alias("repeats"),
+        F.max("_guard_1").alias("has_guard_1"),
+        F.max("_guard_2").alias("has_guard_2"),
+        F.max("_target").alias("step_1_target"),
+        F.max("_into_guard").alias("targets_guard"),
+    )
 
 
 def _requested_once(requests: DataFrame) -> DataFrame:
@@ -128,20 +144,34 @@ def _with_job_facts(
     """
     asked = _requested_once(requests)
     keys = named_requests(requests)
-    known = only_matching(named_jobs(jobs), keys, NAME_KEY, bound=requests)
+    known = (
+        only_matching(named_jobs(jobs), keys, NAME_KEY, bound=requests)
+        .groupBy(*NAME_KEY)
+        .agg(
+            F.min("job_id").alias("job_id"),
+            F.min("start_step_id").alias("start_step_id"),
+            F.count(F.lit(1)).alias("n_jobs"),
+        )
+    )
     own_steps = only_matching(steps, known, JOB_KEY, bound=requests)
     facts = known.join(step_facts(own_steps, guard), JOB_KEY, "left")
     return asked.join(facts, NAME_KEY, "left")
 
 
 # The first condition that holds gives the reason.
+_STEP_RULES = [
+    ("repeats", REPEATED_STEPS),
+    ("(n_steps = max_step_id AND min_step_id = 1) IS NOT TRUE", STEP_GAPS),
+]
 _REQUEST_RULES = [
     ("n_requests > 1", DUPLICATE_REQUEST),
     ("job_id IS NULL", MISSING_JOB),
+    ("n_jobs > 1", AMBIGUOUS_JOB),
     ("n_steps IS NULL", NO_STEPS),
-    ("_config_found IS NULL", MISSING_CONFIG),
+    ("_configs IS NULL", MISSING_CONFIG),
+    ("_configs > 1", AMBIGUOUS_CONFIG),
     ("contains(config_name, chr(39))", QUOTE_IN_CONFIG),
-    ("n_steps <> max_step_id", STEP_GAPS),
+    *_STEP_RULES,
 ]
 _REMOVAL_RULES = [
     ("has_guard_2 IS NOT TRUE", BAD_STEP_2),
@@ -152,10 +182,10 @@ _INSTALL_RULES = _REQUEST_RULES + [
     (f"has_guard_1 AND ({rule})", reason) for rule, reason in _REMOVAL_RULES
 ]
 _REMOVE_RULES = [
-    *_REQUEST_RULES[:2],
+    *_REQUEST_RULES[:3],
     ("has_guard_1 IS NOT TRUE", BAD_STEP_1),
     *_REMOVAL_RULES,
-    ("n_steps <> max_step_id", STEP_GAPS),
+    *_STEP_RULES,
 ]
 
 
@@ -172,8 +202,16 @@ def install_check(
     guard: Guard = DEFAULT_GUARD,
 ) -> DataFrame:
     """Per requested job the first reason against installing, or ``ok``."""
-    return _install_plan(requests, jobs, steps, run_config, guard).select(
-        "server_id", "job_name", "config_name", "job_id", "reason"
+    return _per_request(requests, _install_plan(requests, jobs, steps, run_config, guard))
+
+
+def _per_request(requests: DataFrame, plan: DataFrame) -> DataFrame:
+    """The outcome for each request; repeated ones have a row each."""
+    outcome = plan.select(*NAME_KEY, "job_id", "reason")
+    asked = named_requests(requests)
+    names = [c for c in ("server_id", "job_name", "config_name") if c in requests.columns]
+    return lookup(asked, outcome, NAME_KEY, spread=names, bound=requests).select(
+        *names, "job_id", F.coalesce("reason", F.lit(MISSING_JOB)).alias("reason")
     )
 
 
@@ -184,8 +222,10 @@ def _install_plan(
     run_config: DataFrame,
     guard: Guard,
 ) -> DataFrame:
-    configs = require(run_config, "run_config").select(
-        "server_id", ci("config_name").alias("_config"), F.lit(True).alias("_config_found")
+    configs = (
+        require(run_config, "run_config")
+        .groupBy("server_id", ci("config_name").alias("_config"))
+        .agg(F.count(F.lit(1)).alias("_configs"))
     )
     asked = _with_job_facts(require(requests, "requests"), jobs, steps, guard)
     found = lookup(
@@ -193,6 +233,7 @@ def _install_plan(
         configs,
         ["server_id", "_config"],
         spread=["_job"],
+        bound=run_config,
     )
     return found.withColumn("reason", _first_reason(_INSTALL_RULES))
 
@@ -204,9 +245,8 @@ def remove_check(
     guard: Guard = DEFAULT_GUARD,
 ) -> DataFrame:
     """Per job to be unguarded the first reason against it, or ``ok``."""
-    return _remove_plan(requests, jobs, steps, guard).select(
-        "server_id", "job_name", "job_id", "reason"
-    )
+    named = requests.select("server_id", "job_name")
+    return _per_request(named, _remove_plan(requests, jobs, steps, guard))
 
 
 def _remove_plan(
@@ -345,10 +385,11 @@ def install_guard_steps(
     """Put the guard in front of the requested jobs, replacing one that is there.
 
     Refused requests leave their jobs as they are; with ``strict`` the whole batch
-    is refused instead.
+    is refused instead.  ``strict`` works out the checks at once; store them first if the
+    tables are large (``install_check``), as writing the result works them out again.
     """
     plan = _install_plan(requests, jobs, steps, run_config, guard)
-    checks = plan.select("server_id", "job_name", "config_name", "job_id", "reason")
+    checks = _per_request(requests, plan)
     if strict:
         _raise_if_refused(checks)
     starts = plan.where(F.col("reason") == OK).select(*JOB_KEY, F.lit(1).alias("_new_start"))
@@ -368,7 +409,7 @@ def remove_guard_steps(
 ) -> Flow:
     """Take the guard off the named jobs and let them start on their real start step."""
     plan = _remove_plan(requests, jobs, steps, guard)
-    checks = plan.select("server_id", "job_name", "job_id", "reason")
+    checks = _per_request(requests.select("server_id", "job_name"), plan)
     if strict:
         _raise_if_refused(checks)
     changes = plan.where(F.col("reason") == OK).select(

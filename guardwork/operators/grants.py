@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from guardwork import fixed
 from guardwork.functions.events import event_document, grantee_name
-from guardwork.functions.text import ci
+from guardwork.functions.text import ci, same_name
 from guardwork.plans.joins import lookup
 from guardwork.schemas import require
 
 
-def _documents(events: DataFrame) -> DataFrame:
+def documents(events: DataFrame) -> DataFrame:
     """Events with the fields of their document.
 
     The document is unpacked by a generator, not by field access: filters on its
@@ -24,10 +24,18 @@ def _documents(events: DataFrame) -> DataFrame:
 
 
 def grantees(events: DataFrame) -> DataFrame:
-    """One row per grantee of each grant event; other events are passed over."""
+    """One row per grantee of each grant event; other events are passed over.
+
+    Names longer than an object name may be are cut to ``NAME_LENGTH`` characters, as the
+    server itself would read them.
+    """
+    return grantees_of(documents(events))
+
+
+def grantees_of(parsed: DataFrame) -> DataFrame:
     return (
-        _documents(events)
-        .where(F.col("EventType") == fixed.GRANT_EVENT)
+        parsed.where(F.col("_corrupt_record").isNull())
+        .where(same_name("EventType", fixed.GRANT_EVENT))
         .select("event_id", "server_id", F.explode("Grantees.Grantee").alias("grantee"))
         .select("event_id", "server_id", grantee_name("grantee").alias("grantee"))
         .where(F.col("grantee").isNotNull())
@@ -36,9 +44,12 @@ def grantees(events: DataFrame) -> DataFrame:
 
 def broken_events(events: DataFrame) -> DataFrame:
     """Events whose document cannot be read; ``grantees`` has no rows for them."""
+    return broken_of(documents(events))
+
+
+def broken_of(parsed: DataFrame) -> DataFrame:
     return (
-        _documents(events)
-        .where(F.col("event_xml").isNull() | F.col("_corrupt_record").isNotNull())
+        parsed.where(F.col("event_xml").isNull() | F.col("_corrupt_record").isNotNull())
         .select("event_id", "server_id", "event_xml")
     )
 
@@ -49,12 +60,16 @@ def direct_grants(events: DataFrame, principals: DataFrame) -> DataFrame:
     Repeated names within an event are harmless: a semi join keeps rows, and the
     distinct on narrow rows is combined before its shuffle.
     """
+    return direct_grants_of(documents(events), principals)
+
+
+def direct_grants_of(parsed: DataFrame, principals: DataFrame) -> DataFrame:
     users = (
         require(principals, "principals")
-        .where(F.col("principal_type").isin(*fixed.USER_TYPES))
+        .where(ci("principal_type").isin(*(kind.lower() for kind in fixed.USER_TYPES)))
         .select("server_id", ci("principal_name").alias("_name"))
     )
-    named = grantees(events).select("event_id", "server_id", ci("grantee").alias("_name"))
+    named = grantees_of(parsed).select("event_id", "server_id", ci("grantee").alias("_name"))
     return (
         lookup(named, users, ["server_id", "_name"], spread=["event_id"], how="left_semi")
         .select("event_id", "server_id")
@@ -64,6 +79,10 @@ def direct_grants(events: DataFrame, principals: DataFrame) -> DataFrame:
 
 def refused_grants(events: DataFrame, principals: DataFrame) -> DataFrame:
     """``direct_grants`` with the message for whoever issued the grant."""
-    return direct_grants(events, principals).withColumn(
+    return refused_of(documents(events), principals)
+
+
+def refused_of(parsed: DataFrame, principals: DataFrame) -> DataFrame:
+    return direct_grants_of(parsed, principals).withColumn(
         "message", F.lit(fixed.GRANT_REFUSED)
     )

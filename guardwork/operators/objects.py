@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guardwork import fixed
-from guardwork.functions.text import ci
+from guardwork.functions.text import ci, same_name
 from guardwork.plans.joins import only_matching
 from guardwork.schemas import require
 
@@ -21,7 +21,7 @@ def objects_like(
     """Objects of one type whose name fits the pattern, in any case."""
     return (
         require(objects, "objects")
-        .where(F.col("object_type") == object_type)
+        .where(same_name("object_type", object_type))
         .where(F.col("object_name").ilike(pattern))
         .select("server_id", "object_name")
     )
@@ -51,7 +51,7 @@ def objects_missing(
     wanted = require(expected, "expected_objects").withColumn("_name", ci("object_name"))
     present = (
         require(objects, "objects")
-        .where(F.col("object_type") == object_type)
+        .where(same_name("object_type", object_type))
         .withColumn("_name", ci("object_name"))
     )
     hits = only_matching(present, wanted, key, bound=wanted).select(*key).distinct()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from guardwork.functions.text import ci
 from guardwork.operators.guard import DEFAULT_GUARD, Guard
-from guardwork.plans.joins import lookup, only_matching
+from guardwork.plans.joins import lookup, lookup_repeated, only_matching
 from guardwork.schemas import JOB_KEY, require
 
 NAME_KEY = ["server_id", "_job"]
@@ -25,6 +25,12 @@ def named_jobs(jobs: DataFrame) -> DataFrame:
     )
 
 
+def _found(requests: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Requests with the jobs of their name."""
+    asked = named_requests(require(requests, "requests"))
+    return lookup_repeated(asked, named_jobs(jobs), NAME_KEY, spread=["job_name", "config_name"])
+
+
 def requests_empty(requests: DataFrame) -> DataFrame:
     """One row: is the request list empty?"""
     return requests.agg((F.count(F.lit(1)) == 0).alias("is_empty"))
@@ -44,11 +50,10 @@ def requests_duplicate_jobs(requests: DataFrame) -> DataFrame:
 def requests_missing_jobs(requests: DataFrame, jobs: DataFrame) -> DataFrame:
     """Requests for jobs that do not exist."""
     names = named_jobs(jobs).select(*NAME_KEY)
-    return (
-        named_requests(require(requests, "requests"))
-        .join(names, NAME_KEY, "left_anti")
-        .select("server_id", "job_name")
-    )
+    asked = named_requests(require(requests, "requests"))
+    return lookup_repeated(
+        asked, names, NAME_KEY, spread=["job_name", "config_name"], how="left_anti"
+    ).select("server_id", "job_name")
 
 
 def requests_jobs_without_steps(
@@ -59,11 +64,7 @@ def requests_jobs_without_steps(
     Step keys are made distinct before they are shuffled, so a job with very many
     steps contributes one key per task.
     """
-    asked = (
-        named_requests(require(requests, "requests"))
-        .join(named_jobs(jobs), NAME_KEY)
-        .select(*JOB_KEY, "job_name")
-    )
+    asked = _found(requests, jobs).select(*JOB_KEY, "job_name")
     with_steps = (
         only_matching(require(steps, "steps"), asked, JOB_KEY, bound=requests)
         .select(*JOB_KEY)
@@ -90,11 +91,7 @@ def install_worklist(
     guard: Guard = DEFAULT_GUARD,
 ) -> DataFrame:
     """Requested jobs that have a step 1, and whether their guard must go first."""
-    asked = (
-        named_requests(require(requests, "requests"))
-        .join(named_jobs(jobs), NAME_KEY)
-        .select(*JOB_KEY, "job_name", "config_name")
-    )
+    asked = _found(requests, jobs).select(*JOB_KEY, "job_name", "config_name")
     first = (
         require(steps, "steps")
         .where(F.col("step_id") == 1)

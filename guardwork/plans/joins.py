@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 SALTS = 16
 STEPS_PER_RANGE = 100_000
+# Bytes of a value in memory by type; a text counts as the planner counts it.
+_WIDTH = {"boolean": 1, "integer": 4, "long": 8, "double": 8, "string": 20, "timestamp_ntz": 8}
+# Rows of one key that are worth dividing.
+HEAVY_ROWS = 100_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -29,10 +33,23 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(conf.autoBroadcastJoinThreshold())
 
 
-def fits_broadcast(*bounds: DataFrame) -> bool:
-    """True if all the given tables together stay below the broadcast threshold."""
-    limit = broadcast_limit(bounds[0])
-    return limit > 0 and sum(estimated_bytes(df) for df in bounds) <= limit
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of a row in memory, as the planner counts them."""
+    return 8 + sum(_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields)
+
+
+def fits_broadcast(bound: DataFrame) -> bool:
+    """True if the table stays below the broadcast threshold, by size and by rows.
+
+    The size estimate of a stored table is that of its compressed files, which says little
+    about a table that repeats itself.  So a table that seems small also has its rows
+    counted, up to the number that the threshold allows; no more are read.
+    """
+    limit = broadcast_limit(bound)
+    if limit <= 0 or estimated_bytes(bound) > limit:
+        return False
+    most = max(1, limit // row_bytes(bound))
+    return bound.limit(most + 1).count() <= most
 
 
 def lookup(
@@ -65,6 +82,46 @@ def lookup(
     return salted_rows.join(salted_table, [*on, "_salt"], how).drop("_salt")
 
 
+def lookup_repeated(
+    rows: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    spread: Sequence[str],
+    how: str = "inner",
+) -> DataFrame:
+    """``lookup`` for rows that can be counted cheaply first.
+
+    Keys of more than ``HEAVY_ROWS`` rows are divided over all shuffle partitions, and only
+    their rows of the table are repeated.  Rows without a key match nothing; they are
+    divided as well.  The list of heavy keys is as long as the rows over ``HEAVY_ROWS``
+    at most.
+    """
+    on = list(on)
+    if fits_broadcast(table):
+        return rows.join(F.broadcast(table), on, how)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = (
+        rows.groupBy(*on)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > HEAVY_ROWS)
+        .select(*on, F.lit(True).alias("_heavy"))
+    )
+    keyless = F.array_contains(F.array(*[F.col(c).isNull() for c in on]), True)
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(parts)).cast("int")
+    divided = rows.join(F.broadcast(heavy), on, "left").withColumn(
+        "_salt", F.when(F.col("_heavy") | keyless, part).otherwise(F.lit(0))
+    )
+    repeated = table.join(F.broadcast(heavy), on, "left").withColumn(
+        "_salt",
+        F.explode(
+            F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
+                F.array(F.lit(0))
+            )
+        ),
+    )
+    return divided.drop("_heavy").join(repeated.drop("_heavy"), [*on, "_salt"], how).drop("_salt")
+
+
 def only_matching(
     rows: DataFrame, keys: DataFrame, on: Sequence[str], bound: DataFrame
 ) -> DataFrame:
@@ -74,7 +131,7 @@ def only_matching(
     front of an aggregation or join on the same keys, so keeping all is right too.
     """
     if fits_broadcast(bound):
-        return rows.join(F.broadcast(keys.select(*on)), list(on), "left_semi")
+        return rows.join(F.broadcast(keys.select(*on).distinct()), list(on), "left_semi")
     return rows
 
 

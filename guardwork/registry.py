@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 
 from guardwork import operators as ops
 from guardwork.session import shared_folder
+from guardwork.sources.awkward import AwkwardFleet
 from guardwork.sources.derived import DerivedFleet
-from guardwork.streaming import refuse_grants, refused_so_far
+from guardwork.streaming import broken_folder, broken_so_far, refuse_grants, refused_so_far
 
 FleetQuery = Callable[[DerivedFleet], DataFrame]
 
+# Files, and so micro-batches, that the event table is streamed in.
+STREAM_FILES = 3
+
 
 def _audit(f: DerivedFleet) -> DataFrame:
     return ops.guard_audit(f.jobs_installed, f.steps_installed, f.run_config)
@@ -49,6 +53,22 @@ def _duplicates(f: DerivedFleet) -> DataFrame:
 
 def _streamed_grants(f: DerivedFleet) -> DataFrame:
     """The event table as a file stream, run to its end."""
+    run = _run_stream(f, f.given("events"), f.as_grant_events)
+    return refused_so_far(f.spark, f"{run}/output")
+
+
+def _streamed_broken(f: DerivedFleet) -> DataFrame:
+    """The documents that a stream could not read."""
+    run = _run_stream(
+        f,
+        f.given("events"),
+        lambda events: AwkwardFleet.as_awkward_events(f.as_grant_events(events)),
+    )
+    return broken_so_far(f.spark, broken_folder(f"{run}/output"))
+
+
+def _run_stream(f: DerivedFleet, events: DataFrame, as_grant_events) -> str:
+    """Streams the events, a file at a time, to the end; returns the run's folder."""
     spark = f.spark
     folder = shared_folder(spark)
     if folder is None:
@@ -56,18 +76,24 @@ def _streamed_grants(f: DerivedFleet) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="guardwork-")
     run = f"{folder.rstrip('/')}/refused-grants-{uuid.uuid4().hex}"
-    # A stream source wants a folder or a pattern; the table may be one file or a folder.
-    events = spark.readStream.schema(f.given("events").schema).parquet(
-        f"{f.folder}/events.parquet*"
+    events.repartition(STREAM_FILES).write.parquet(f"{run}/input")
+    arriving = (
+        spark.readStream.schema(events.schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{run}/input")
     )
     stream = refuse_grants(
-        f.as_grant_events(events),
+        as_grant_events(arriving),
         lambda session: DerivedFleet(session, f.folder).principals,
         output=f"{run}/output",
         checkpoint=f"{run}/checkpoint",
     )
     stream.awaitTermination()
-    return refused_so_far(spark, f"{run}/output")
+    return run
+
+
+def _awkward(query: Callable[[AwkwardFleet], DataFrame]) -> FleetQuery:
+    return lambda f: query(AwkwardFleet(f))
 
 
 FLEET_QUERIES: dict[str, FleetQuery] = {
@@ -122,6 +148,40 @@ FLEET_QUERIES: dict[str, FleetQuery] = {
     "direct_grants_stream": _streamed_grants,
     "objects_like": lambda f: ops.objects_like(f.objects),
     "objects_missing": lambda f: ops.objects_missing(f.expected_objects, f.objects),
+    "guard_audit_awkward": _awkward(
+        lambda f: ops.guard_audit(f.jobs_installed, f.unreadable_steps, f.run_config)
+    ),
+    "local_replica_role_awkward": _awkward(lambda f: ops.local_replica_role(*_states(f)[1:])),
+    "run_decision_awkward": _awkward(lambda f: ops.run_decision(f.requests, *_states(f))),
+    "status_check_awkward": _awkward(
+        lambda f: ops.status_check(
+            ops.guard_config_name(f.unreadable_steps).withColumn(
+                "step_id", F.expr("IF(job_id % 3 = 0, step_id + 1, step_id)")
+            ),
+            *_states(f),
+        )
+    ),
+    "install_check_awkward": _awkward(
+        lambda f: ops.install_check(f.requests, f.jobs_plain, f.steps_plain, f.run_config)
+    ),
+    "install_job_starts_awkward": _awkward(
+        lambda f: ops.install_guard_steps(
+            f.requests, f.jobs_plain, f.steps_plain, f.run_config
+        ).jobs
+    ),
+    "remove_check_awkward": _awkward(
+        lambda f: ops.remove_check(f.removal_requests, f.jobs_installed, f.steps_installed)
+    ),
+    "install_full_steps": lambda f: ops.install_guard_steps(
+        f.requests, f.jobs_plain, AwkwardFleet(f).full_steps, f.run_config
+    ).steps,
+    "direct_grants_awkward": _awkward(lambda f: ops.direct_grants(f.grant_events, f.principals)),
+    "broken_events": _awkward(lambda f: ops.broken_events(f.grant_events)),
+    "broken_events_stream": _streamed_broken,
+    "objects_like_awkward": _awkward(lambda f: ops.objects_like(f.objects)),
+    "objects_missing_awkward": _awkward(
+        lambda f: ops.objects_missing(f.expected_objects, f.objects)
+    ),
 }
 
 

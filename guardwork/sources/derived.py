@@ -80,11 +80,12 @@ class DerivedFleet:
 
     @property
     def _server_regions(self) -> DataFrame:
-        """Each server with each of the five regions, by an equi-join on region keys."""
+        """Each server with each region, by an equi-join on the list of region keys."""
+        keys = self.given("region").select(F.collect_set("r_regionkey")).scalar()
         servers = self.given("nation").select(
             F.col("n_nationkey").cast("bigint").alias("server_id"),
             "n_nationkey",
-            F.explode(F.sequence(F.lit(0), F.lit(4))).alias("r_regionkey"),
+            F.explode(keys).alias("r_regionkey"),
         )
         return servers.join(self.given("region"), "r_regionkey")
 

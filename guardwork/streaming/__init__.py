@@ -1,5 +1,5 @@
-"""Grant checks on a stream of events."""
+"""Structured streaming jobs."""
 
-from guardwork.streaming.grants import refuse_grants, refused_so_far
+from guardwork.streaming.grants import broken_folder, broken_so_far, refuse_grants, refused_so_far
 
-__all__ = ["refuse_grants", "refused_so_far"]
+__all__ = ["broken_folder", "broken_so_far", "refuse_grants", "refused_so_far"]

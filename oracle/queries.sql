@@ -226,11 +226,14 @@ SELECT s.server_id, s.job_id, s.step_id - coalesce(k.k, 0) AS step_id, s.step_na
   s.database_name
 FROM steps_installed s
 LEFT JOIN (
-  SELECT d.server_id, d.job_id, 2 AS k FROM removal d
-  JOIN request_base b ON b.server_id = d.server_id AND b.job_id = d.job_id
-  WHERE d.reason = 'ok'
+  SELECT j.server_id, j.job_id, 2 AS k
+  FROM jobs_installed j
+  JOIN (
+    SELECT server_id, job_id FROM guard_rows GROUP BY server_id, job_id HAVING count(*) = 2
+  ) g ON g.server_id = j.server_id AND g.job_id = j.job_id
+  WHERE j.start_step_id = 1 AND j.job_id % 4 <> 0
 ) k ON k.server_id = s.server_id AND k.job_id = s.job_id
-WHERE k.k IS NULL OR s.step_id NOT IN (1, 2)
+WHERE k.k IS NULL OR s.step_id > 2
 
 -- query: remove_job_starts
 SELECT j.server_id, j.job_id, j.job_name,
@@ -310,3 +313,163 @@ WHERE object_type = 'IT' AND object_name ILIKE 'FullText%'
 SELECT server_id, object_name FROM expected_objects x
 WHERE NOT EXISTS (SELECT 1 FROM objects o WHERE o.object_type = 'IT'
   AND o.server_id = x.server_id AND lower(o.object_name) = lower(x.object_name))
+
+-- query: guard_audit_awkward
+SELECT v.server_id, v.job_id, v.job_name,
+  CASE
+    WHEN v.g1 IS NULL THEN $STATUS_NOT_SET_UP
+    WHEN v.start_step_id <> 1 THEN $STATUS_BYPASSED
+    WHEN v.job_id % 7 = 1 THEN $STATUS_UNREADABLE
+    WHEN c.n IS NULL THEN $STATUS_CONFIG_MISSING
+    WHEN c.n > 1 THEN $STATUS_CONFIG_AMBIGUOUS
+    WHEN lower(v.c1) IS DISTINCT FROM lower(v.c2) THEN $STATUS_NOT_SAME_CONFIG
+    ELSE $STATUS_CONFIGURED
+  END AS status,
+  v.c1 AS config_name, c.driver_database, c.run_if_ungrouped, v.real_start_step_id,
+  s.step_name AS real_start_step_name, s.subsystem AS real_start_subsystem,
+  s.database_name AS real_start_database_name, CASE WHEN s.step_id IN (1, 2) AND s.job_id % 7 = 1 THEN 'no config' ELSE s.command END AS real_start_command
+FROM (
+  SELECT j.*, g.g1, g.c1, g.c2, coalesce(g.t1, j.start_step_id) AS real_start_step_id
+  FROM jobs_installed j
+  LEFT JOIN (
+    SELECT server_id, job_id, max(step_name) FILTER (WHERE step_id = 1) AS g1,
+      max(config_name) FILTER (WHERE step_id = 1 AND job_id % 7 <> 1) AS c1,
+      max(config_name) FILTER (WHERE step_id = 2 AND job_id % 7 <> 1) AS c2,
+      max(on_success_step_id) FILTER (WHERE step_id = 1) AS t1
+    FROM guard_rows GROUP BY ALL
+  ) g USING (server_id, job_id)
+) v
+LEFT JOIN awk_configs c ON c.server_id = v.server_id AND c.name = lower(v.c1)
+LEFT JOIN steps_installed s ON s.server_id = v.server_id AND s.job_id = v.job_id
+  AND s.step_id = v.real_start_step_id
+
+-- query: local_replica_role_awkward
+SELECT server_id, database_id, database_name, role_desc, role_rows, ambiguous FROM awk_roles
+
+-- query: run_decision_awkward
+SELECT *, reason = 'ok' AS runs FROM (
+  SELECT q.server_id, q.job_name, q.config_name, c.driver_database, c.role_desc,
+    CASE WHEN c.n > 1 THEN 'ambiguous_config'
+      WHEN c.driver_database IS NULL THEN 'config_missing'
+      WHEN c.database_id IS NULL THEN 'database_missing'
+      WHEN c.databases > 1 THEN 'ambiguous_database'
+      WHEN c.ambiguous THEN 'ambiguous_role'
+      WHEN c.role_desc = 'PRIMARY' THEN 'ok'
+      WHEN c.role_desc IS NULL AND c.run_if_ungrouped THEN 'ok'
+      ELSE 'not_here' END AS reason
+  FROM awk_requests q
+  LEFT JOIN awk_states c ON c.server_id = q.server_id AND c.name = lower(rtrim(q.config_name))
+)
+
+-- query: status_check_awkward
+SELECT *, reason = 'ok' AS passed FROM (
+  SELECT g.server_id, g.job_id, g.step_id, g.config_name,
+    CASE WHEN g.step_id > 2 THEN 'bad_step_id'
+      WHEN c.n > 1 THEN 'ambiguous_config'
+      WHEN c.driver_database IS NULL THEN 'config_missing'
+      WHEN c.database_id IS NULL THEN 'database_missing'
+      WHEN c.databases > 1 THEN 'ambiguous_database'
+      WHEN g.step_id = 1 AND c.ambiguous THEN 'ambiguous_role'
+      WHEN g.step_id = 1 AND (c.role_desc = 'PRIMARY'
+        OR (c.role_desc IS NULL AND c.run_if_ungrouped)) IS NOT TRUE THEN 'not_here'
+      ELSE 'ok' END AS reason
+  FROM (
+    SELECT server_id, job_id, CASE WHEN job_id % 3 = 0 THEN step_id + 1 ELSE step_id END AS step_id,
+      CASE WHEN job_id % 7 <> 1 THEN config_name END AS config_name
+    FROM guard_rows
+  ) g
+  LEFT JOIN awk_states c ON c.server_id = g.server_id AND c.name = lower(g.config_name)
+)
+
+-- query: install_check_awkward
+SELECT server_id, job_name, config_name, job_id, reason FROM awk_checked
+
+-- query: install_job_starts_awkward
+SELECT j.server_id, j.job_id, j.job_name,
+  CASE WHEN c.job_id IS NULL THEN j.start_step_id ELSE 1 END AS start_step_id
+FROM jobs_plain j
+LEFT JOIN (FROM awk_checked WHERE reason = 'ok') c ON c.server_id = j.server_id AND c.job_id = j.job_id
+
+-- query: remove_check_awkward
+SELECT r.server_id, r.job_name, j.job_id,
+  CASE
+    WHEN j.job_id IS NULL THEN 'missing_job'
+    WHEN f.guard_1 IS NULL THEN 'bad_step_1'
+    WHEN f.guard_2 IS NULL THEN 'bad_step_2'
+    WHEN j.start_step_id <> 1 THEN 'bad_start'
+    WHEN f.dangling = 1 THEN 'dangling_target'
+    WHEN f.ids < f.n THEN 'repeated_steps'
+    WHEN f.first <> 1 OR f.last <> f.n THEN 'step_gaps'
+    ELSE 'ok'
+  END AS reason
+FROM (
+  SELECT server_id, job_name FROM jobs_installed
+  UNION ALL SELECT server_id, job_name FROM requests WHERE job_name = 'No such job'
+) r
+LEFT JOIN jobs_installed j ON j.server_id = r.server_id AND j.job_name = r.job_name
+LEFT JOIN awk_installed_facts f ON f.server_id = j.server_id AND f.job_id = j.job_id
+
+-- query: install_full_steps
+SELECT s.server_id, s.job_id, CASE WHEN p.job_id IS NULL THEN step_id ELSE step_id + 2 END AS step_id,
+  step_name, subsystem, command, on_success_action,
+  CASE WHEN p.job_id IS NULL OR on_success_step_id = 0 THEN on_success_step_id
+    ELSE on_success_step_id + 2 END AS on_success_step_id,
+  on_fail_action,
+  CASE WHEN p.job_id IS NULL OR on_fail_step_id = 0 THEN on_fail_step_id
+    ELSE on_fail_step_id + 2 END AS on_fail_step_id,
+  database_name,
+  s.step_id + 5 AS flags,
+  concat('additional_parameters ', CAST(s.step_id AS VARCHAR)) AS additional_parameters,
+  s.step_id + 20 AS cmdexec_success_code,
+  concat('server ', CAST(s.step_id AS VARCHAR)) AS server,
+  concat('database_user_name ', CAST(s.step_id AS VARCHAR)) AS database_user_name,
+  s.step_id + 14 AS retry_attempts,
+  s.step_id + 14 AS retry_interval,
+  s.step_id + 15 AS os_run_priority,
+  concat('output_file_name ', CAST(s.step_id AS VARCHAR)) AS output_file_name,
+  s.step_id + 8 AS proxy_id,
+  CASE WHEN p.job_id IS NULL THEN s.step_id + 16 END AS last_run_outcome,
+  CASE WHEN p.job_id IS NULL THEN s.step_id + 17 END AS last_run_duration,
+  CASE WHEN p.job_id IS NULL THEN s.step_id + 16 END AS last_run_retries,
+  CASE WHEN p.job_id IS NULL THEN s.step_id + 13 END AS last_run_date,
+  CASE WHEN p.job_id IS NULL THEN s.step_id + 13 END AS last_run_time,
+  CASE WHEN p.job_id IS NULL THEN concat('step_uid ', CAST(s.step_id AS VARCHAR)) END AS step_uid
+FROM steps_plain s
+LEFT JOIN (FROM plain_checked WHERE reason = 'ok') p USING (server_id, job_id)
+UNION ALL
+SELECT p.server_id, p.job_id, 1, $GUARD_STEP_1_NAME, 'TSQL',
+  concat($GUARD_COMMAND_HEAD, '1 , ', $CONFIG_MARKER, p.config_name, $GUARD_COMMAND_TAIL),
+  4, j.start_step_id + 2, 4, 2, 'DBA', 0, NULL, 0, NULL, NULL, 0, 0, 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM plain_checked p JOIN jobs_plain j USING (server_id, job_id) WHERE p.reason = 'ok'
+UNION ALL
+SELECT p.server_id, p.job_id, 2, $GUARD_STEP_2_NAME, 'TSQL',
+  concat($GUARD_COMMAND_HEAD, '2 , ', $CONFIG_MARKER, p.config_name, $GUARD_COMMAND_TAIL),
+  1, 0, 2, 0, 'DBA', 0, NULL, 0, NULL, NULL, 0, 0, 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM plain_checked p WHERE p.reason = 'ok'
+
+-- query: direct_grants_awkward
+SELECT event_id, server_id FROM awk_events e
+WHERE event_id % 40 <> 3 AND event_id % 97 <> 5
+  AND event_xml LIKE '%<EventType>GRANT_DATABASE</EventType>%'
+  AND EXISTS (
+    SELECT 1 FROM awk_principals p
+    WHERE upper(rtrim(p.principal_type)) IN ('S', 'U') AND p.server_id = e.server_id
+      AND list_contains(
+        regexp_extract_all(lower(e.event_xml), '<grantee>([^<]*)</grantee>', 1),
+        lower(p.principal_name))
+  )
+
+-- query: broken_events
+SELECT event_id, server_id, event_xml FROM awk_events WHERE event_id % 40 = 3 OR event_id % 97 = 5
+
+-- query: broken_events_stream
+SELECT event_id, server_id, event_xml FROM awk_events WHERE event_id % 40 = 3 OR event_id % 97 = 5
+
+-- query: objects_like_awkward
+SELECT server_id, object_name FROM awk_objects
+WHERE upper(rtrim(object_type)) = 'IT' AND object_name ILIKE 'FullText%'
+
+-- query: objects_missing_awkward
+SELECT server_id, object_name FROM expected_objects x
+WHERE NOT EXISTS (SELECT 1 FROM awk_objects o WHERE upper(rtrim(o.object_type)) = 'IT'
+  AND o.server_id = x.server_id AND lower(o.object_name) = lower(x.object_name))

@@ -117,4 +117,96 @@ objects AS (
     concat('Part_', CAST(p_partkey AS VARCHAR(20))),
     CASE WHEN p_partkey % 2 = 0 THEN 'IT' ELSE 'U' END
   FROM part
+),
+-- The same with everything in it that is to be refused or reported.
+awk_principals AS (
+  SELECT server_id, principal_name, CASE WHEN right(principal_name, 1) IN ('0', '2', '4', '6', '8')
+    THEN concat(lower(principal_type), ' ') ELSE principal_type END AS principal_type
+  FROM principals
+),
+awk_objects AS (
+  SELECT server_id, object_name, CASE WHEN server_id % 2 = 0
+    THEN concat(lower(object_type), ' ') ELSE object_type END AS object_type
+  FROM objects
+),
+awk_events AS (
+  SELECT event_id, server_id, CASE WHEN event_id % 40 = 3 THEN left(event_xml, length(event_xml) - 20)
+    WHEN event_id % 97 = 5 THEN NULL ELSE event_xml END AS event_xml
+  FROM grant_events
+),
+awk_config AS (
+  SELECT * FROM run_config
+  UNION ALL SELECT server_id, 'asia ', driver_database, run_if_ungrouped FROM run_config
+  WHERE server_id % 5 = 2 AND config_name = 'ASIA'
+  UNION ALL SELECT DISTINCT server_id, 'O''Brien', 'DB_0', TRUE FROM replica_states
+),
+awk_databases AS (
+  SELECT * FROM databases
+  UNION ALL SELECT server_id, database_id + 50, 'db_1 ' FROM databases
+  WHERE server_id % 8 = 3 AND database_name = 'DB_1'
+),
+awk_configs AS (
+  SELECT server_id, lower(rtrim(config_name)) AS name, count(*) AS n,
+    CASE count(*) WHEN 1 THEN min(driver_database) END AS driver_database,
+    CASE count(*) WHEN 1 THEN bool_and(run_if_ungrouped) END AS run_if_ungrouped
+  FROM awk_config GROUP BY ALL
+),
+awk_roles AS (
+  SELECT d.server_id, d.database_id, d.database_name,
+    CASE WHEN d.server_id % 6 = 1 THEN NULL ELSE s.role_desc END AS role_desc,
+    CASE WHEN d.server_id % 6 = 1 THEN 2 ELSE 1 END AS role_rows, d.server_id % 6 = 1 AS ambiguous
+  FROM awk_databases d
+  JOIN db_replica_states r ON r.server_id = d.server_id AND r.database_id = d.database_id AND r.is_local
+  JOIN replica_states s ON s.server_id = r.server_id AND s.replica_id = r.replica_id AND s.group_id = r.group_id
+),
+awk_states AS (
+  SELECT c.*, d.database_id, d.n AS databases, o.role_desc, coalesce(o.ambiguous, FALSE) AS ambiguous
+  FROM awk_configs c
+  LEFT JOIN (
+    SELECT server_id, lower(rtrim(database_name)) AS name, min(database_id) AS database_id, count(*) AS n
+    FROM awk_databases GROUP BY ALL
+  ) d ON d.server_id = c.server_id AND d.name = lower(c.driver_database)
+  LEFT JOIN awk_roles o ON o.server_id = d.server_id AND o.database_id = d.database_id
+),
+awk_requests AS (
+  SELECT * FROM requests
+  UNION ALL SELECT server_id, concat(job_name, ' '), 'OTHER' FROM jobs_plain WHERE job_id % 37 = 0
+  UNION ALL SELECT server_id, job_name, 'O''Brien' FROM jobs_plain WHERE job_id % 44 = 0 AND job_id % 37 <> 0
+),
+awk_plain_facts AS (
+  SELECT server_id, job_id, count(*) AS n, count(DISTINCT step_id) AS ids, min(step_id) AS first, max(step_id) AS last
+  FROM (
+    SELECT server_id, job_id, CASE WHEN job_id % 43 = 7 AND step_id = 2 THEN 1 ELSE step_id END AS step_id
+    FROM steps_plain WHERE NOT (job_id % 41 = 5 AND step_id = 1)
+  ) GROUP BY ALL
+),
+awk_checked AS (
+  SELECT r.server_id, r.job_name, r.config_name, j.job_id,
+    CASE
+      WHEN count(*) OVER (PARTITION BY r.server_id, lower(rtrim(r.job_name))) > 1 THEN 'duplicate_request'
+      WHEN j.job_id IS NULL THEN 'missing_job'
+      WHEN f.n IS NULL THEN 'no_steps'
+      WHEN c.n IS NULL THEN 'missing_config'
+      WHEN c.n > 1 THEN 'ambiguous_config'
+      WHEN contains(r.config_name, '''') THEN 'quote_in_config'
+      WHEN f.ids < f.n THEN 'repeated_steps'
+      WHEN f.first <> 1 OR f.last <> f.n THEN 'step_gaps'
+      ELSE 'ok'
+    END AS reason
+  FROM awk_requests r
+  LEFT JOIN jobs_plain j ON j.server_id = r.server_id AND lower(j.job_name) = lower(rtrim(r.job_name))
+  LEFT JOIN awk_plain_facts f ON f.server_id = j.server_id AND f.job_id = j.job_id
+  LEFT JOIN awk_configs c ON c.server_id = r.server_id AND c.name = lower(r.config_name)
+),
+awk_installed_facts AS (
+  SELECT server_id, job_id, count(*) AS n, count(DISTINCT step_id) AS ids, min(step_id) AS first, max(step_id) AS last,
+    max(CASE WHEN step_id = 1 AND lower(step_name) = lower($GUARD_STEP_1_NAME) THEN 1 END) AS guard_1,
+    max(CASE WHEN step_id = 2 AND lower(step_name) = lower($GUARD_STEP_2_NAME) THEN 1 END) AS guard_2,
+    max(CASE WHEN step_id > 2 AND (target IN (1, 2) OR on_fail_step_id IN (1, 2)) THEN 1
+      WHEN step_id = 1 AND target < 3 THEN 1 END) AS dangling
+  FROM (
+    SELECT server_id, job_id, CASE WHEN job_id % 43 = 7 AND step_id = 4 THEN 3 ELSE step_id END AS step_id, step_name,
+      CASE WHEN job_id % 23 = 9 AND step_id = 3 THEN 1 ELSE on_success_step_id END AS target, on_fail_step_id
+    FROM steps_installed WHERE NOT (job_id % 41 = 5 AND step_id = 3)
+  ) GROUP BY ALL
 )

@@ -94,7 +94,7 @@ def test_stream_equals_batch_and_restarts_without_doubles(spark, fleet, table, t
     )
     assert len(batch) == 856
     assert stream(spark, folder, fleet, tmp_path) == batch
-    assert len(list((tmp_path / "out").glob("batch_id=*"))) == 3
+    assert len(list((tmp_path / "out").glob("query=*/batch_id=*"))) == 3
     assert stream(spark, folder, fleet, tmp_path) == batch
 
     user = fleet.principals.where("principal_type = 'S' AND server_id = 1").first()

@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from guardwork.registry import FLEET_QUERIES
 from compare import connect, expected_rows, spark_rows
 
-QUERIES = entry_point.queries()
+QUERIES = {n: q for n, q in entry_point.queries().items() if n in FLEET_QUERIES}
 EXPECTED = entry_point.oracle_sql()
 
 
@@ -15,7 +16,7 @@ def duck(small):
 
 
 def test_every_query_has_expected_results():
-    assert set(QUERIES) == set(EXPECTED)
+    assert set(QUERIES) <= set(EXPECTED)
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -122,3 +122,23 @@ def test_skewed_users_give_every_event_once(table, spark, no_broadcast):
     ).withColumn("event_xml", F.lit(document))
     found = ops.direct_grants(events, table("principals", (1, "app", "S"), (1, "App", "R")))
     assert found.count() == 5_000
+
+
+def test_repeated_and_missing_names_are_divided(spark, no_broadcast, monkeypatch):
+    """Rows of a heavy name and rows without a name spread; the table is repeated for it alone."""
+    monkeypatch.setattr(joins, "HEAVY_ROWS", 1_000)
+    rows = spark.range(9_000).select(
+        F.lit(1).alias("server_id"),
+        "id",
+        F.expr("CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN CAST(id AS STRING) END").alias("_name"),
+    )
+    table = spark.createDataFrame([(1, "hot"), (1, "1"), (1, "gone")], "server_id int, _name string")
+    on = ["server_id", "_name"]
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        divided = joins.lookup_repeated(rows, table, on, ["id"], how)
+        plain = rows.join(F.broadcast(table), on, how)
+        assert divided.count() == plain.count()
+        assert divided.exceptAll(plain.select(divided.columns)).isEmpty()
+    # With nothing heavy every key keeps one row.
+    calm = rows.where("_name <> 'hot'")
+    assert joins.lookup_repeated(calm, table, on, ["id"]).count() == 1
