@@ -19,4 +19,24 @@ ranked AS (
 SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 20
 """
 
-LLM_ORACLE_SQL = {"op8_metric_tree": _TOP_K}
+#: Base 32 of the SHA-1, five bits at a time from the hex digits that hold them.
+_PAGES = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digits FROM pages
+),
+first AS (
+  SELECT payload, min(page_id) AS response FROM payloads GROUP BY payload
+)
+SELECT p.page_id, CAST(strlen(p.payload) AS BIGINT) AS payload_bytes,
+  array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+      ((strpos('0123456789abcdef', substr(p.digits, 1 + (5 * i) // 4, 1)) - 1) * 16
+        + strpos('0123456789abcdef', substr(p.digits, 2 + (5 * i) // 4, 1)) - 1)
+      // CAST(pow(2, 3 - (5 * i) % 4) AS BIGINT) % 32 AS BIGINT), 1)
+    FOR i IN range(0, 32)], '') AS payload_digest,
+  CASE WHEN f.response < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f.response < p.page_id THEN f.response END AS refers_to
+FROM payloads p JOIN first f ON f.payload = p.payload
+"""
+
+LLM_ORACLE_SQL = {"op8_metric_tree": _TOP_K, "op9_warc": _PAGES}

@@ -10,6 +10,7 @@ import pytest
 
 from guardwork.llm import warc
 from guardwork.llm.files import reading
+from guardwork.llm.oracle import LLM_ORACLE_SQL
 from guardwork.llm.queries import LLM_QUERIES
 from guardwork.llm.shared import shared_folder
 
@@ -59,6 +60,10 @@ def test_query_on_all_pages(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     rows = LLM_QUERIES["op9_warc"](spark, small).collect()
     assert sorted(map(tuple, rows), key=str) == expected(pages.collect())
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{small}/pages.parquet')")
+    assert sorted(con.execute(LLM_ORACLE_SQL["op9_warc"]).fetchall(), key=str) == sorted(map(tuple, rows), key=str)
 
 
 def test_empty_table(llm):
