@@ -52,6 +52,11 @@ def headline_queries(spark, scratch: str) -> dict:
         ).steps,
         "grantees": lambda: ops.grantees(t["grant_events"]),
         "direct_grants": lambda: ops.direct_grants(t["grant_events"], t["principals"]),
+        "install_preview": lambda: ops.install_preview(
+            requests, t["jobs_plain"], t["steps_plain"], t["run_config"]
+        ),
+        "status_check": lambda: ops.status_check(ops.guard_config_name(steps), *states),
+        "requests_missing_jobs": lambda: ops.requests_missing_jobs(requests, jobs),
         "objects_missing": lambda: ops.objects_missing(t["expected_objects"], t["objects"]),
     }
 

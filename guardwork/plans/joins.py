@@ -17,19 +17,29 @@ SALTS = 16
 STEPS_PER_RANGE = 100_000
 # Bytes of a value in memory by type; a text counts as the planner counts it.
 _WIDTH = {"boolean": 1, "integer": 4, "long": 8, "double": 8, "string": 20, "timestamp_ntz": 8}
+UNKNOWN = 1 << 62
 # Rows of one key that are worth dividing.
 HEAVY_ROWS = 100_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The planner's size estimate; file scans report their file sizes."""
-    plan = df._jdf.queryExecution().optimizedPlan()
+    """The planner's size estimate; file scans report their file sizes.
+
+    A session without a planner at hand (a client's) knows no size; nothing is hinted then.
+    """
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+    except AttributeError:
+        return UNKNOWN
     return int(str(plan.stats().sizeInBytes()))
 
 
 def broadcast_limit(df: DataFrame) -> int:
     """The session's broadcast threshold in bytes; negative switches broadcasts off."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    try:
+        conf = df.sparkSession._jsparkSession.sessionState().conf()
+    except AttributeError:
+        return -1
     return int(conf.autoBroadcastJoinThreshold())
 
 

@@ -19,11 +19,6 @@ SETTINGS = {
 }
 
 
-def shuffle_partitions(shuffle_bytes: int, cores: int, target_bytes: int = 200 << 20) -> int:
-    """Partitions for the largest shuffle: about 200 MB each, at least one per core."""
-    return max(cores, -(-shuffle_bytes // target_bytes))
-
-
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A session on this machine, for tests and benchmarks."""
     builder = (

@@ -128,7 +128,9 @@ class DerivedFleet:
             .otherwise("SSIS")
             .alias("subsystem"),
             _text("EXEC dbo.LoadPart @id = ", "l_partkey").alias("command"),
-            F.when(goes_on, 4).otherwise(1).alias("on_success_action"),
+            F.when(goes_on, fixed.GO_TO_STEP)
+            .otherwise(fixed.QUIT_WITH_SUCCESS)
+            .alias("on_success_action"),
             F.when(goes_on, F.col("rn") + 1).otherwise(0).alias("on_success_step_id"),
             F.when(stops, 2).otherwise(4).alias("on_fail_action"),
             F.when(stops, 0).otherwise(F.col("n")).alias("on_fail_step_id"),
@@ -242,8 +244,10 @@ class DerivedFleet:
             )
 
         first_target = F.lit(3) + (job % 2).cast("int")
-        flow_1 = [F.lit(4), first_target, F.lit(4), F.lit(2)]
-        flow_2 = [F.lit(1), F.lit(0), F.lit(2), F.lit(0)]
+        on = F.lit(fixed.GO_TO_STEP)
+        flow_1 = [on, first_target, on, F.lit(2)]
+        ends = [F.lit(fixed.QUIT_WITH_SUCCESS), F.lit(fixed.QUIT_WITH_FAILURE)]
+        flow_2 = [ends[0], F.lit(0), ends[1], F.lit(0)]
         guards = (
             self._orders_with_region(self._orders.where("job_id % 6 <> 0"))
             .select(
