@@ -45,7 +45,7 @@ def test_audit_reads_each_column_where_it_is_needed(stored):
     heads = [scan for scan in scans if "In(step_id, [1,2])" in scan]
     numbers = [scan for scan in scans if "EqualTo(step_id,1)" in scan]
     assert len(wide) == len(heads) == 1
-    assert "ReadSchema: struct<step_id:int,on_success_step_id:int>" in numbers[0]
+    assert "ReadSchema: struct<step_id:int,step_name:string,on_success_step_id:int>" in numbers[0]
     assert "Subquery" in plan_text(audit)
 
 
