@@ -42,7 +42,7 @@ PERCENT = 80
 #: Signatures that differ in more symbols belong to less similar sets (but for 1 in 10 million).
 MOST_ERRORS = 29
 #: Classes of a tile; two tiles meet in a task.
-TILE = 512
+TILE = 1024
 _SMALL = 64  # groups handed to Python together
 
 _random = np.random.default_rng(30)
@@ -231,19 +231,32 @@ _TILE_KEYS = ["key", "low", "high"]
 def _open_tiles(entries: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows for the keys where classes of further components meet, once for each pair of tiles.
 
-    entries: key, leader, node.  The leader has been compared with all the others.
+    entries: key, leader, node.  The leader has been compared with all the others.  Its own
+    component, as a rule most of a group of copies, fills the first tiles of a key; they meet
+    the tiles of the others but not each other.
     """
-    rest = _labelled(entries.where("node <> leader").select("key", "node"), labels)
+    rest = _labelled(entries.where("node <> leader"), labels)
+    leaders = _labelled(entries.select("leader").distinct(), labels, "leader")
+    rest = rest.join(leaders.withColumnRenamed("component", "main"), "leader").drop("leader")
+    is_main = F.col("component") == F.col("main")
     open_keys = (
         rest.groupBy("key")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size"))
+        .agg(
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.ceil(F.count(F.when(is_main, 1)) / TILE).cast("int").alias("mains"),
+            F.ceil(F.count(F.when(~is_main, 1)) / TILE).cast("int").alias("others"),
+        )
         .where("least <> most")
-        .select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
+        .select("key", "mains", "others")
     )
+    within = F.when(is_main, F.col("mains")).otherwise(F.col("others"))
+    first = F.when(is_main, F.lit(0)).otherwise(F.col("mains"))
+    meets_from = F.when(is_main, F.col("mains")).otherwise(F.lit(0))
     return (
         rest.join(open_keys, "key")
-        .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .withColumn("tile", (first + F.pmod(F.xxhash64("node"), within)).cast("int"))
+        .withColumn("other", F.explode(F.sequence(meets_from, F.col("mains") + F.col("others") - 1)))
         .join(classes.select("node", "n", "signature"), "node")
         .select(
             "key",
