@@ -29,7 +29,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder's URI under spark.checkpoint.dir; only a local session may leave that unset."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         top = f"file://{tempfile.mkdtemp(prefix='run-', dir='/tmp')}"
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
