@@ -21,7 +21,6 @@ table gives an empty result; other columns are ignored.  Components must stay be
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +33,12 @@ from guardwork.llm.shared import stored
 SHARD_ROWS = 8192
 #: Queries that one copy of a shard answers, on average.
 QUERY_ROWS = 2048
+#: Queries that are answered together.
+QUERY_BLOCK = 512
 MOST_PIVOTS = 1024
 PAGE = 128
 FANOUT = 8
+MOST_LEVELS = 60
 _SLACK = 1e-6  # of a distance, for rounding
 
 
@@ -85,26 +87,26 @@ class Space:
         squares = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * (a @ b.T)
         return np.sqrt(np.maximum(squares, 0.0))
 
-    def most_score(self, query_square: float, distance: float) -> float:
+    def most_score(self, query_square: np.ndarray, distance: np.ndarray) -> np.ndarray:
         """Of a vector at that distance or farther: the inner product is no larger."""
-        distance = max(0.0, distance - _SLACK * (1 + distance))
+        distance = np.maximum(0.0, distance - _SLACK * (1 + np.abs(distance)))
         return (query_square + self.longest - distance * distance) / 2
 
-    def reach(self, query_square: float, score: float) -> float:
+    def reach(self, query_square: np.ndarray, score: np.ndarray) -> np.ndarray:
         """Vectors of that score or more are no farther."""
-        distance = np.sqrt(max(0.0, query_square + self.longest - 2 * score))
+        distance = np.sqrt(np.maximum(0.0, query_square + self.longest - 2 * score))
         return distance + _SLACK * (1 + distance)
 
 
 class Node:
     """A page: children, or entries (row numbers in order of their distance to the centre)."""
 
-    __slots__ = ("centre", "radius", "to_parent", "children", "centres", "child_radius", "child_to_parent", "rows", "to_centre")
+    __slots__ = ("centre", "radius", "to_parent", "children", "child_to_parent", "rows", "to_centre")
 
     def __init__(self, centre: np.ndarray, radius: float, to_parent: float):
         self.centre, self.radius, self.to_parent = centre, radius, to_parent
         self.children: list[Node] = []
-        self.rows = self.to_centre = None
+        self.rows = self.to_centre = self.child_to_parent = None
 
 
 class MetricTree:
@@ -113,20 +115,18 @@ class MetricTree:
         self.points = space.lengthened(vectors)
         self.root = self._page(np.arange(len(ids)), self.points[0], 0.0)
 
-    def _page(self, rows: np.ndarray, centre: np.ndarray, to_parent: float) -> Node:
+    def _page(self, rows: np.ndarray, centre: np.ndarray, to_parent: float, level: int = 0) -> Node:
         distance = self.space.distances(centre[None, :], self.points[rows])[0]
         node = Node(centre, float(distance.max()), to_parent)
-        centres = self._far_apart(rows) if len(rows) > PAGE else []
-        if len(centres) < 2:  # small enough, or all of them equal
+        centres = self._far_apart(rows) if len(rows) > PAGE and level < MOST_LEVELS else []
+        if len(centres) < 2:  # small enough, deep enough, or all of them equal
             order = np.argsort(distance, kind="stable")
             node.rows, node.to_centre = rows[order], distance[order]
             return node
         nearest = self.space.distances(self.points[rows], self.points[centres]).argmin(axis=1)
         for k, c in enumerate(centres):
             away = self.space.distances(centre[None, :], self.points[c][None, :])[0, 0]
-            node.children.append(self._page(rows[nearest == k], self.points[c], float(away)))
-        node.centres = np.stack([child.centre for child in node.children])
-        node.child_radius = np.array([child.radius for child in node.children])
+            node.children.append(self._page(rows[nearest == k], self.points[c], float(away), level + 1))
         node.child_to_parent = np.array([child.to_parent for child in node.children])
         return node
 
@@ -142,43 +142,78 @@ class MetricTree:
             nearest = np.minimum(nearest, self.space.distances(self.points[rows], self.points[chosen[-1:]])[:, 0])
         return chosen
 
-    def search(self, own: int, query: np.ndarray, k: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best that reach the bound, best first."""
-        space, square = self.space, float(query @ query)
-        point = np.append(query, 0.0)
-        best_score, best_id = np.zeros(0), np.zeros(0, np.int64)
-        away = float(space.distances(point[None, :], self.root.centre[None, :])[0, 0])
-        heap = [(-space.most_score(square, away - self.root.radius), 0, away, self.root)]
-        opened = 1
-        while heap and -heap[0][0] >= bound:
-            _, _, away, node = heapq.heappop(heap)
-            reach = space.reach(square, bound) if bound > -np.inf else np.inf
-            if node.children:
-                # What the stored distances alone rule out is not computed.
-                open_ = np.flatnonzero(np.abs(away - node.child_to_parent) - node.child_radius <= reach)
-                if len(open_):
-                    distance = space.distances(point[None, :], node.centres[open_])[0]
-                    for i, d in zip(open_.tolist(), distance.tolist(), strict=True):
-                        most = space.most_score(square, d - node.child_radius[i])
-                        if most >= bound:
-                            heapq.heappush(heap, (-most, opened, d, node.children[i]))
-                            opened += 1
-                continue
-            low = np.searchsorted(node.to_centre, away - reach)
-            high = np.searchsorted(node.to_centre, away + reach, side="right")
-            rows = node.rows[low:high]
-            if not len(rows):
+    def promises(self, points: np.ndarray, squares: np.ndarray, bounds: np.ndarray) -> tuple[list[Node], np.ndarray, np.ndarray]:
+        """The leaves; for each query and leaf the most that it promises (-inf: ruled out) and
+        the query's distance to its centre."""
+        space, n = self.space, len(points)
+        reach = space.reach(squares, bounds)
+        leaves, most, away = [], [], []
+        everyone = np.arange(n)
+        open_ = [(self.root, everyone, space.distances(points, self.root.centre[None, :])[:, 0])]
+        while open_:
+            node, who, distance = open_.pop()
+            if not node.children:
+                row, far = np.full(n, -np.inf), np.zeros(n)
+                row[who] = space.most_score(squares[who], distance - node.radius)
+                far[who] = distance
+                leaves.append(node)
+                most.append(row)
+                away.append(far)
                 continue
-            score = self.vectors[rows] @ query
-            good = np.flatnonzero((score >= bound) & (self.ids[rows] != own))
-            if len(good):
-                best_score = np.concatenate((best_score, score[good]))
-                best_id = np.concatenate((best_id, self.ids[rows[good]]))
-                order = np.lexsort((best_id, -best_score))[:k]
-                best_score, best_id = best_score[order], best_id[order]
-                if len(order) == k:
-                    bound = max(bound, float(best_score[-1]))
-        return best_id, best_score
+            for i, child in enumerate(node.children):
+                # What the stored distances alone rule out is not computed.
+                near = np.abs(distance - node.child_to_parent[i]) - child.radius <= reach[who]
+                some = who[near]
+                if len(some):
+                    to_child = space.distances(points[some], child.centre[None, :])[:, 0]
+                    hopeful = space.most_score(squares[some], to_child - child.radius) >= bounds[some]
+                    if hopeful.any():
+                        open_.append((child, some[hopeful], to_child[hopeful]))
+        if not leaves:
+            return [], np.zeros((n, 0)), np.zeros((n, 0))
+        return leaves, np.column_stack(most), np.column_stack(away)
+
+    def search(self, own: np.ndarray, queries: np.ndarray, k: int, bounds: np.ndarray):
+        """Query number, id and score of the k best of each query that reach its bound.
+
+        Every query opens the leaf that promises it most, and goes on until no leaf promises
+        more than the k-th score that it has found.  Queries that open the same leaf are
+        answered together; entries whose stored distance to the leaf's centre puts them out of
+        reach of all of them are passed over.
+        """
+        squares = (queries * queries).sum(axis=1)
+        points = self.space.query(queries)
+        bounds = bounds.copy()
+        leaves, most, away = self.promises(points, squares, bounds)
+        who, ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        waiting = np.arange(len(queries)) if leaves else who
+        while len(waiting):
+            best = most[waiting].argmax(axis=1)
+            going = most[waiting, best] >= np.maximum(bounds[waiting], np.finfo(float).min)
+            waiting, best = waiting[going], best[going]
+            found = [(who, ids, scores)]
+            for leaf in np.unique(best):
+                asking = waiting[best == leaf]
+                most[asking, leaf] = -np.inf
+                found.append(self._entries(leaves[leaf], asking, away[asking, leaf], own, queries, squares, bounds))
+            who, ids, scores = (np.concatenate(parts) for parts in zip(*found, strict=True))
+            order = np.lexsort((ids, -scores, who))
+            who, ids, scores = who[order], ids[order], scores[order]
+            rank = np.arange(len(who)) - np.searchsorted(who, who)
+            full = who[rank == k - 1]
+            bounds[full] = np.maximum(bounds[full], scores[rank == k - 1])
+            who, ids, scores = who[rank < k], ids[rank < k], scores[rank < k]
+        return who, ids, scores
+
+    def _entries(self, leaf: Node, asking: np.ndarray, away: np.ndarray, own, queries, squares, bounds):
+        """Query number, id and score of a leaf's entries that reach the bounds of those asking."""
+        reach = self.space.reach(squares[asking], bounds[asking])
+        low = np.searchsorted(leaf.to_centre, (away - reach).min())
+        high = np.searchsorted(leaf.to_centre, (away + reach).max(), side="right")
+        rows = leaf.rows[low:high]
+        score = queries[asking] @ self.vectors[rows].T
+        q, e = np.nonzero((score >= bounds[asking][:, None]) & (self.ids[rows] != own[asking][:, None]))
+        return asking[q], self.ids[rows[e]], score[q, e]
 
 
 _ENTRY = "shard long, copy long, is_query int, id long, v array<int>, bound double"
@@ -202,28 +237,29 @@ def _searched(shards: DataFrame, routed: DataFrame, k: int, longest: float) -> D
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space, tree = Space(longest), None
-        shard, ids, vectors = None, [], []
+        space, tree, held, at = Space(longest), None, [], None
         for batch in batches:
-            hits: tuple[list, list, list] = ([], [], [])
-            columns = (batch.column(c).to_pylist() for c in ("shard", "copy", "is_query", "id", "bound"))
-            for row, (at, copy, is_query, number, bound) in enumerate(zip(*columns, strict=True)):
-                vector = batch.column("v")[row].values.to_numpy(zero_copy_only=False).astype(np.float64)
-                if (at, copy) != shard:
-                    shard, ids, vectors, tree = (at, copy), [], [], None
+            columns = [batch.column(c).to_numpy() for c in ("shard", "copy", "is_query")]
+            new = np.zeros(batch.num_rows + 1, bool)
+            new[[0, -1]] = True
+            for column in columns:
+                new[1:-1] |= column[1:] != column[:-1]
+            edges = np.flatnonzero(new)
+            edges = np.unique(np.concatenate((edges, np.arange(0, batch.num_rows, QUERY_BLOCK))))
+            for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                shard, copy, is_query = (column[low] for column in columns)
+                part = batch.slice(low, high - low)
+                ids, vectors = part.column("id").to_numpy(), _matrix(part.column("v"))
+                if (shard, copy) != at:
+                    at, tree, held = (shard, copy), None, []
                 if not is_query:
-                    ids.append(number)
-                    vectors.append(vector)
+                    held.append((ids, vectors))
                     continue
                 if tree is None:
-                    tree = MetricTree(np.array(ids), np.stack(vectors), space)
-                found, score = tree.search(number, vector, k, bound)
-                hits[0].extend([number] * len(found))
-                hits[1].extend(found.tolist())
-                hits[2].extend(score.astype(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values, pa.int64()) for values in hits], names=["query_id", "id", "score"]
-            )
+                    tree = MetricTree(*map(np.concatenate, zip(*held, strict=True)), space)
+                who, found, score = tree.search(ids, vectors, k, part.column("bound").to_numpy())
+                hits = (ids[who], found, score.astype(np.int64))
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, hits)), names=["query_id", "id", "score"])
 
     keys = ["shard", "copy"]
     return (

@@ -72,10 +72,25 @@ def test_tree_opens_few_pages_of_clusters():
             return np.asarray(super().__getitem__(rows))
 
     tree.vectors = x.view(Counting)
-    found, score = tree.search(-1, x[7], 20, -np.inf)
-    order = np.lexsort((np.arange(4000), -(x @ x[7])))[:20]
-    assert found.tolist() == order.tolist() and score.tolist() == (x @ x[7])[order].tolist()
-    assert sum(counted) < 2000
+    for q in (7, 1234):
+        counted.clear()
+        who, found, score = tree.search(np.array([-1]), x[[q]], 20, np.array([-np.inf]))
+        order = np.lexsort((np.arange(4000), -(x @ x[q])))[:20]
+        assert found.tolist() == order.tolist() and score.tolist() == (x @ x[q])[order].tolist()
+        assert sum(counted) < 2000 and not who.any()
+
+
+def test_queries_answered_together_are_answered_as_alone():
+    rng = np.random.default_rng(17)
+    x = np.floor(64 * rng.normal(size=(900, 5))).round(-1)
+    tree = mt.MetricTree(np.arange(900), x, mt.Space(float((x * x).sum(axis=1).max())))
+    own, bounds = np.arange(0, 900, 20), np.where(np.arange(45) % 2, -np.inf, 9000.0)
+    who, found, score = tree.search(own, x[own], 20, bounds)
+    for i, q in enumerate(own):
+        all_scores = x @ x[q]
+        order = np.lexsort((np.arange(900), -all_scores))
+        order = order[(order != q) & (all_scores[order] >= bounds[i])][:20]
+        assert found[who == i].tolist() == order.tolist() and score[who == i].tolist() == all_scores[order].tolist()
 
 
 def test_query_equals_brute_force_and_sql(spark, small):
