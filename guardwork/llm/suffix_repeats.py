@@ -40,12 +40,13 @@ from guardwork.llm.shared import stored
 from guardwork.llm.words import BLOCK_BYTES, mixed, powers, prefix_hashes, range_hashes
 
 #: Different runs of an anchor that are sorted in one task.
-MOST_RUNS = 256
+MOST_RUNS = 512
 #: Anchor lengths for strings of `length` bytes, as parts of it; each deals out what the one before left.
 ANCHORS = (0.32, 0.96, 1.0)
 #: Starts of strings that are looked at together.
 _PIECE = 1 << 22
 _SORT_BYTES = 1 << 21
+_SORT_RUNS = 512  # of successive anchors, sorted together
 _PLACE_BITS = 24
 
 
@@ -328,14 +329,14 @@ def _by_bytes(run, offset, contents, length) -> np.ndarray:
     return np.array([seen[s] > 1 for s in strings])
 
 
-_FOUND = "anchor long, content long, low int, high int"
+_FOUND = "anchor long, content long, stretches array<struct<low: int, high: int>>"
 
 
 def _sorted_runs(cut: DataFrame, length: int) -> DataFrame:
-    """Stretches low..high-1 of repeated starts in runs that occur once."""
+    """Stretches low..high-1 of repeated starts in runs that occur once, a row for each run."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole, _ in runs_of_groups(batches, ["anchor"], 4 * MOST_RUNS):
+        for whole, _ in runs_of_groups(batches, ["anchor"], _SORT_RUNS):
             anchors, content, copies = (whole.column(c).to_numpy() for c in ("anchor", "content", "copies"))
             starts, at = (whole.column(c).to_numpy().astype(np.int64) for c in ("starts", "at"))
             # A unit that occurs twice has been cut twice.
@@ -352,22 +353,25 @@ def _sorted_runs(cut: DataFrame, length: int) -> DataFrame:
             low, high = low[flags[low]], high[flags[low]]
             if len(low):
                 origin = (np.cumsum(starts[chosen]) - starts[chosen])[run[low]]
-                rows = chosen[run[low]]
+                of_run, first = np.unique(run[low], return_index=True)
+                stretches = pa.StructArray.from_arrays(
+                    [pa.array((edge - origin).astype(np.int32)) for edge in (low, high)], names=["low", "high"]
+                )
+                offsets = pa.array(np.append(first, len(low)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(anchors[rows]),
-                        pa.array(content[rows]),
-                        pa.array((low - origin).astype(np.int32)),
-                        pa.array((high - origin).astype(np.int32)),
+                        pa.array(anchors[chosen[of_run]]),
+                        pa.array(content[chosen[of_run]]),
+                        pa.ListArray.from_arrays(offsets, stretches),
                     ],
-                    names=["anchor", "content", "low", "high"],
+                    names=["anchor", "content", "stretches"],
                 )
 
     return cut.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sort, _FOUND)
 
 
 def repeated(units: DataFrame, length: int, level: int = 0) -> DataFrame:
-    """key_a, key_b, low, high: the stretches of starts of repeated strings in each unit.
+    """key_a, key_b, stretches: the starts of repeated strings, a row for each run of a unit.
 
     units: key_a, key_b, text; units of equal keys have equal texts.
     """
@@ -379,7 +383,8 @@ def repeated(units: DataFrame, length: int, level: int = 0) -> DataFrame:
     firsts = [F.first(c).alias(c) for c in ("key_a", "key_b", "start", "starts", "at")]
     distinct = stored(runs.groupBy(*by_run).agg(F.count(F.lit(1)).alias("copies"), *firsts), "runs-distinct")
     different = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
-    found = distinct.where("copies > 1").select(*by_run, F.lit(0).alias("low"), F.col("starts").alias("high"))
+    throughout = F.array(F.struct(F.lit(0).alias("low"), F.col("starts").alias("high")))
+    found = distinct.where("copies > 1").select(*by_run, throughout.alias("stretches"))
 
     compared = distinct.join(different.where(F.col("different") <= MOST_RUNS), "anchor", "left_semi")
     found = found.union(_sorted_runs(_with_bytes(units, compared, length), length))
@@ -388,11 +393,15 @@ def repeated(units: DataFrame, length: int, level: int = 0) -> DataFrame:
         cut = _with_bytes(units, distinct.join(crowded, "anchor", "left_semi"), length)
         cut = cut.select(F.col("anchor").alias("key_a"), F.col("content").alias("key_b"), F.col("bytes").alias("text"))
         parts = stored(cut.dropDuplicates(["key_a", "key_b"]), "runs-crowded")
-        again = repeated(parts, length, level + 1)
-        found = found.union(again.select(F.col("key_a").alias("anchor"), F.col("key_b").alias("content"), "low", "high"))
-    return runs.join(found, by_run).select(
-        "key_a", "key_b", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high")
-    )
+        once = distinct.where("copies = 1").select(F.col("anchor").alias("key_a"), F.col("content").alias("key_b"))
+        again = repeated(parts, length, level + 1).join(once, ["key_a", "key_b"], "left_semi")
+        again = again.groupBy("key_a", "key_b").agg(F.flatten(F.collect_list("stretches")))
+        found = found.union(again)
+
+    def moved(stretch):
+        return F.struct((F.col("start") + stretch.low).alias("low"), (F.col("start") + stretch.high).alias("high"))
+
+    return runs.join(found, by_run).select("key_a", "key_b", F.transform("stretches", moved).alias("stretches"))
 
 
 def merged_spans(stretches: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -414,7 +423,7 @@ def remove_repeats(docs: DataFrame, length: int) -> DataFrame:
     spans = (
         repeated(units, length)
         .groupBy("key_a", "key_b")
-        .agg(F.collect_set(F.struct("low", "high")).alias("stretches"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("stretches"))).alias("stretches"))
         .hint("shuffle_hash")
     )
     joined = units.alias("u").join(spans.alias("r"), _same_unit("u", "r"), "left").select("u.key_a", "u.text", "r.stretches")
