@@ -34,9 +34,9 @@ SHARD_ROWS = 8192
 #: Queries that one copy of a shard answers, on average.
 QUERY_ROWS = 2048
 #: Queries that are answered together.
-QUERY_BLOCK = 512
+QUERY_BLOCK = 1024
 MOST_PIVOTS = 1024
-PAGE = 128
+PAGE = 512
 FANOUT = 8
 MOST_LEVELS = 60
 _SLACK = 1e-6  # of a distance, for rounding
