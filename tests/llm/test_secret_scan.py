@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import string
 from collections import Counter
 
 from guardwork.llm import secret_scan as ss
@@ -81,6 +82,35 @@ def test_allowed_runs_are_no_entropy_spans_but_base_spans_stay():
     assert [s[0] for s in ss.spans_of("Zx9Kq2Lm8Vb4Nn7TpQ3w")] == ["entropy"]
 
 
+def test_random_keys_of_every_alphabet_are_found():
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    rng = random.Random(11)
+    # At most this share is missed at 20 characters: the floor's, and keys that read as words of one case.
+    alphabets = {
+        "0123456789abcdef": 0.005,
+        "0123456789ABCDEF": 0.005,
+        upper + "234567": 0.03,
+        lower + digits: 0.008,
+        upper + digits: 0.008,
+        lower + upper: 0.008,
+        lower + upper + digits: 0.005,
+        lower + upper + digits + "+/": 0.005,
+        lower + upper + digits + "-_": 0.005,
+    }
+    for alphabet, most in alphabets.items():
+        for form in ("{}", "key_id={}"):
+            for length in (20, 40):
+                keys = ["".join(rng.choices(alphabet, k=length)) for _ in range(2000)]
+                missed = sum(not list(ss.entropy_spans(form.format(key))) for key in keys)
+                assert missed <= most * len(keys), (alphabet, form, length, missed)
+
+
+def test_words_are_no_keys():
+    words = "internationalization INTERNATIONALIZATION AbstractSingletonProxyFactory getElementsWithClassName"
+    paths = "/Users/John/Documents/Report_Final 2024-01-15/2024-02-16"
+    assert not list(ss.entropy_spans(f"{words} {paths}"))
+
+
 def test_redaction(documents):
     docs = documents(TEXTS)
     by_id = {r.doc_id: r for r in ss.redact_secrets(docs).collect()}
