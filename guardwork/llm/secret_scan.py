@@ -6,7 +6,8 @@ of key-like characters, and over each long part between its separators, and meas
 Shannon entropy of each window, from counts that are updated by one character in and one
 out.  The floor is that of the alphabet that the run or part is written in.  Runs that an
 allow list explains are left alone, and so are names whose parts it explains, up to a higher
-floor; the base kinds are never suppressed.  So keys without digits are found unless they read as words: letters of
+floor; of a run that holds an example only the part that says so is.  The base kinds are
+never suppressed.  So keys without digits are found unless they read as words: letters of
 one case only, or capitalised words joined as in CamelCase (about 1 in 1000 random keys of
 20 letters of both cases).
 
@@ -64,11 +65,15 @@ ALPHABETS = tuple(
     )
 )
 _SEPARATORS = re.compile(r"[-+/_=]+")
-#: Runs that are explained otherwise: examples, digests of well-known files, paths, repeats.
+#: Parts that say themselves that they are no secrets; two well-known example keys hold separators.
+EXAMPLES = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|xxxx")
+_PART = re.compile(
+    r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY|je7MtGbClwBF/2Zp9Utk/h3yCo8nvbEXAMPLEKEY|[A-Za-z0-9]+"
+)
+#: Runs that are explained otherwise: digests of well-known files, paths, repeats.
 ALLOWED = tuple(
     re.compile(form)
     for form in (
-        r"(?i)example|sample|dummy|placeholder|changeme|xxxx",
         r"^[0-9]+$",
         r"^[A-Z]?[a-z]+([-_/][A-Z]?[a-z]+)*$",
         r"^[A-Z]+([-_/][A-Z]+)*$",
@@ -128,10 +133,25 @@ def is_key(run: str) -> bool:
     return _random(run)
 
 
+def between_examples(run: str) -> Iterator[tuple[int, int]]:
+    """Start and end of what is long enough between the run's examples and their separators."""
+    at = 0
+    for part in _PART.finditer(run):
+        if EXAMPLES.search(part.group()):
+            if part.start() - 1 - at >= WINDOW:
+                yield at, part.start() - 1
+            at = part.end() + 1
+    if len(run) - at >= WINDOW:
+        yield at, len(run)
+
+
 def entropy_spans(text: str) -> Iterator[Span]:
     for match in _CANDIDATE.finditer(text):
-        if is_key(match.group()):
-            yield "entropy", match.start(), match.end()
+        run, start = match.group(), match.start()
+        if not allowed(run):
+            for a, b in between_examples(run):
+                if is_key(run[a:b]):
+                    yield "entropy", start + a, start + b
 
 
 def base_spans(text: str) -> Iterator[Span]:

@@ -111,6 +111,17 @@ def test_words_are_no_keys():
     assert not list(ss.entropy_spans(f"{words} {paths}"))
 
 
+def test_an_example_explains_only_its_own_part():
+    key = "Zx9Kq2Lm8Vb4Nn7TpQ3w"
+    for form in ("/sample/app/{}", "sample_id={}", "{}-example", "/{}/dummy/xxxx", "/my-samples/{}=placeholder"):
+        text = form.format(key)
+        ((kind, start, end),) = ss.entropy_spans(text)
+        assert kind == "entropy" and key in text[start:end] and not ss.EXAMPLES.search(text[start:end])
+    assert len(list(ss.entropy_spans(f"{key}/example/{key[::-1]}"))) == 2
+    for text in (f"example{key}/app", f"/app/{key}EXAMPLE", "aws=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"):
+        assert not list(ss.entropy_spans(text))
+
+
 def test_redaction(documents):
     docs = documents(TEXTS)
     by_id = {r.doc_id: r for r in ss.redact_secrets(docs).collect()}
