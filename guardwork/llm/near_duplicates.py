@@ -18,8 +18,10 @@ Every link is confirmed on the full sets, 100 * intersection >= 80 * union.
 Defined results: a text without words (or null) has the empty set and is linked with
 nothing; rows without an id are their own component (null) and are kept; repeated rows have
 equal results; classes that share their smallest id count as one; an empty table gives an
-empty result; other columns are ignored by `near_duplicates` and kept by
-`without_near_duplicates`.
+empty result; other columns are ignored by `near_duplicates`.  `without_near_duplicates`
+keeps one row of each group with all its columns: rows without an id are compared as if
+they had large ones, and of rows with one id and equal sets one stays.  Rows of one id with
+different sets, and texts without words, all stay as `near_duplicates` tells.
 """
 
 from __future__ import annotations
@@ -100,8 +102,9 @@ def index_keys(symbols: np.ndarray) -> np.ndarray:
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
 
 
-def _signed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, the set's 128-bit name and its signature."""
+def _signed(docs: DataFrame, size: int, more: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, the set's 128-bit name, its signature and more columns (long) of docs."""
+    schema = ", ".join((_SIGNED, *(f"{c} long" for c in more)))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,9 +122,10 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                     for t, symbols in zip(filled.tolist(), signatures(values, at), strict=True):
                         signed[first + t] = symbols.tobytes()
             columns = [batch.column("doc_id"), counts, *names.view(np.int64), pa.array(signed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=[c.split()[0] for c in _SIGNED.split(", ")])
+            columns += [batch.column(c) for c in more]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=[c.split()[0] for c in schema.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, _SIGNED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more).mapInArrow(sign, schema)
 
 
 def _keyed(classes: DataFrame) -> DataFrame:
@@ -348,7 +352,12 @@ def _links_in_tiles(tiles: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, size: int) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept; shingles of `size` words."""
-    signed = stored(_signed(docs, size), "signatures")
+    return _grouped(docs, size).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(docs: DataFrame, size: int, more: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of `near_duplicates` with the set's name and more columns (long) of docs."""
+    signed = stored(_signed(docs, size, more), "signatures")
     classes = stored(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("set_a", "set_b")
@@ -385,15 +394,44 @@ def near_duplicates(docs: DataFrame, size: int) -> DataFrame:
     named = _labelled(classes.select("set_a", "set_b", "node"), labels).select("set_a", "set_b", "component")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return (
-        signed.select("doc_id", "n_shingles", "set_a", "set_b")
+        signed.select("doc_id", "n_shingles", "set_a", "set_b", *more)
         .join(named, ["set_a", "set_b"], "left")
         .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")))
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-        .select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+        .withColumn("kept", kept)
     )
 
 
+_ROW = ("row_a", "row_b")
+
+
+def _without_maps(docs: DataFrame) -> list[str]:
+    """The columns that can be hashed."""
+    return [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+
+
 def without_near_duplicates(docs: DataFrame, size: int) -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    kept = near_duplicates(docs, size).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One row of each group, of the smallest id, with all its columns."""
+    columns = [F.col(f"`{c}`") for c in _without_maps(docs)]
+    keys = [F.xxhash64(F.lit(i), *columns).alias(c) for i, c in enumerate(_ROW)]
+    # Ids of rows that have none, behind all others: equal texts get equal ones.
+    own = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
+    known = docs.select(F.coalesce(F.col("doc_id").cast("long"), own).alias("doc_id"), "text", *keys)
+    kept = _grouped(known, size, _ROW).where("kept")
+    one = ["doc_id", "set_a", "set_b"]
+    chosen = (
+        kept.where("n_shingles > 0")
+        .groupBy(*one, *_ROW)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*one)
+        .agg(F.min(F.struct(*_ROW, "n")).alias("row"))
+        .select("row.*")
+    )
+    wordless = kept.where("n_shingles = 0").select(*_ROW, F.lit(1).cast("long").alias("n")).distinct()
+    chosen = stored(chosen.unionByName(wordless), "kept-rows")
+    rows = docs.select(F.struct("*").alias("doc"), *keys)
+    out = rows.join(chosen.where("n = 1"), list(_ROW), "left_semi")
+    repeated = chosen.where("n > 1")
+    if not repeated.isEmpty():  # equal rows, which no key tells apart
+        out = out.unionByName(rows.join(repeated, list(_ROW), "left_semi").dropDuplicates(list(_ROW)))
+    return out.select("doc.*")

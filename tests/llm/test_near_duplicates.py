@@ -114,5 +114,37 @@ def test_kept_documents_keep_their_columns(awkward):
     }
 
 
+def test_one_row_of_each_group_stays(documents):
+    """Repeated rows and rows without an id are no reason to keep a text more than once."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        *[(1, "repeated text of seven words right here", "en", "a", 1)] * 3,
+        (1, "REPEATED text of seven words right here", "de", "b", 2),
+        (2, "repeated text of seven words right here", "en", "a", 1),
+        *[(None, "a text without an id that is repeated", "en", "a", 1)] * 3,
+        (None, "a text WITHOUT an id that is repeated", "en", "b", 1),
+        (None, long, "en", "a", 1),
+        (None, long + " end", "en", "a", 1),
+        (5, long, "en", "a", 1),
+        (6, "another text of the id six", "en", "a", 1),
+        (6, "nothing is common to both of these", "en", "a", 1),
+        *[(None, None, None, None, None)] * 2,
+    ]
+    kept = nd.without_near_duplicates(documents(rows=rows, clashing=True), 4).collect()
+    found = sorted(((r.doc_id, (r.text or "").lower()) for r in kept), key=str)
+    assert found == sorted(
+        [
+            (1, rows[0][1]),
+            (5, long),
+            (6, "another text of the id six"),
+            (6, "nothing is common to both of these"),
+            (None, "a text without an id that is repeated"),
+            (None, ""),
+            (None, ""),
+        ],
+        key=str,
+    )
+
+
 def test_empty_table(documents):
     assert nd.near_duplicates(documents(), 4).collect() == []
