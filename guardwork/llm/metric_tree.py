@@ -35,6 +35,8 @@ SHARD_ROWS = 8192
 QUERY_ROWS = 2048
 #: Queries that are answered together.
 QUERY_BLOCK = 1024
+#: Of those, queries that are compared with one range of a leaf's entries.
+TOGETHER = 64
 MOST_PIVOTS = 1024
 PAGE = 512
 FANOUT = 8
@@ -101,9 +103,10 @@ class Space:
 class Node:
     """A page: children, or entries (row numbers in order of their distance to the centre)."""
 
-    __slots__ = ("centre", "radius", "to_parent", "children", "child_to_parent", "rows", "to_centre")
+    __slots__ = ("centre", "radius", "to_parent", "number", "children", "child_to_parent", "rows", "to_centre")
 
-    def __init__(self, centre: np.ndarray, radius: float, to_parent: float):
+    def __init__(self, centre: np.ndarray, radius: float, to_parent: float, number: int):
+        self.number = number
         self.centre, self.radius, self.to_parent = centre, radius, to_parent
         self.children: list[Node] = []
         self.rows = self.to_centre = self.child_to_parent = None
@@ -113,11 +116,13 @@ class MetricTree:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, space: Space):
         self.ids, self.vectors, self.space = ids, vectors, space
         self.points = space.lengthened(vectors)
+        self.nodes: list[Node] = []  # by number, the root first
         self.root = self._page(np.arange(len(ids)), self.points[0], 0.0)
 
     def _page(self, rows: np.ndarray, centre: np.ndarray, to_parent: float, level: int = 0) -> Node:
         distance = self.space.distances(centre[None, :], self.points[rows])[0]
-        node = Node(centre, float(distance.max()), to_parent)
+        node = Node(centre, float(distance.max()), to_parent, len(self.nodes))
+        self.nodes.append(node)
         centres = self._far_apart(rows) if len(rows) > PAGE and level < MOST_LEVELS else []
         if len(centres) < 2:  # small enough, deep enough, or all of them equal
             order = np.argsort(distance, kind="stable")
@@ -142,61 +147,38 @@ class MetricTree:
             nearest = np.minimum(nearest, self.space.distances(self.points[rows], self.points[chosen[-1:]])[:, 0])
         return chosen
 
-    def promises(self, points: np.ndarray, squares: np.ndarray, bounds: np.ndarray) -> tuple[list[Node], np.ndarray, np.ndarray]:
-        """The leaves; for each query and leaf the most that it promises (-inf: ruled out) and
-        the query's distance to its centre."""
-        space, n = self.space, len(points)
-        reach = space.reach(squares, bounds)
-        leaves, most, away = [], [], []
-        everyone = np.arange(n)
-        open_ = [(self.root, everyone, space.distances(points, self.root.centre[None, :])[:, 0])]
-        while open_:
-            node, who, distance = open_.pop()
-            if not node.children:
-                row, far = np.full(n, -np.inf), np.zeros(n)
-                row[who] = space.most_score(squares[who], distance - node.radius)
-                far[who] = distance
-                leaves.append(node)
-                most.append(row)
-                away.append(far)
-                continue
-            for i, child in enumerate(node.children):
-                # What the stored distances alone rule out is not computed.
-                near = np.abs(distance - node.child_to_parent[i]) - child.radius <= reach[who]
-                some = who[near]
-                if len(some):
-                    to_child = space.distances(points[some], child.centre[None, :])[:, 0]
-                    hopeful = space.most_score(squares[some], to_child - child.radius) >= bounds[some]
-                    if hopeful.any():
-                        open_.append((child, some[hopeful], to_child[hopeful]))
-        if not leaves:
-            return [], np.zeros((n, 0)), np.zeros((n, 0))
-        return leaves, np.column_stack(most), np.column_stack(away)
-
     def search(self, own: np.ndarray, queries: np.ndarray, k: int, bounds: np.ndarray):
         """Query number, id and score of the k best of each query that reach its bound.
 
-        Every query opens the leaf that promises it most, and goes on until no leaf promises
-        more than the k-th score that it has found.  Queries that open the same leaf are
-        answered together; entries whose stored distance to the leaf's centre puts them out of
-        reach of all of them are passed over.
+        Every query has a frontier of nodes.  It opens the one that promises it most, and goes
+        on until none promises more than the k-th score that it has found.  Queries that open
+        the same node are answered together.
         """
         squares = (queries * queries).sum(axis=1)
         points = self.space.query(queries)
         bounds = bounds.copy()
-        leaves, most, away = self.promises(points, squares, bounds)
+        # For each query and node the most that it promises (-inf: not in the frontier) and the
+        # query's distance to its centre.
+        most, away = np.full((len(queries), len(self.nodes)), -np.inf), np.zeros((len(queries), len(self.nodes)))
+        away[:, 0] = self.space.distances(points, self.root.centre[None, :])[:, 0]
+        most[:, 0] = self.space.most_score(squares, away[:, 0] - self.root.radius)
         who, ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        waiting = np.arange(len(queries)) if leaves else who
+        waiting = np.arange(len(queries))
         while len(waiting):
             best = most[waiting].argmax(axis=1)
             going = most[waiting, best] >= np.maximum(bounds[waiting], np.finfo(float).min)
             waiting, best = waiting[going], best[going]
-            found = [(who, ids, scores)]
-            for leaf in np.unique(best):
-                asking = waiting[best == leaf]
-                most[asking, leaf] = -np.inf
-                found.append(self._entries(leaves[leaf], asking, away[asking, leaf], own, queries, squares, bounds))
-            who, ids, scores = (np.concatenate(parts) for parts in zip(*found, strict=True))
+            found = []
+            for at in np.unique(best):
+                node, asking = self.nodes[at], waiting[best == at]
+                most[asking, at] = -np.inf
+                if node.children:
+                    self._expand(node, asking, away[asking, at], points, squares, bounds, most, away)
+                else:
+                    found += self._entries(node, asking, away[asking, at], own, queries, squares, bounds)
+            if not found:
+                continue
+            who, ids, scores = (np.concatenate(parts) for parts in zip((who, ids, scores), *found, strict=True))
             order = np.lexsort((ids, -scores, who))
             who, ids, scores = who[order], ids[order], scores[order]
             rank = np.arange(len(who)) - np.searchsorted(who, who)
@@ -205,15 +187,35 @@ class MetricTree:
             who, ids, scores = who[rank < k], ids[rank < k], scores[rank < k]
         return who, ids, scores
 
+    def _expand(self, node: Node, asking: np.ndarray, distance: np.ndarray, points, squares, bounds, most, away) -> None:
+        """Puts the children that can reach a query's bound into its frontier."""
+        reach = self.space.reach(squares[asking], bounds[asking])
+        for child, to_parent in zip(node.children, node.child_to_parent, strict=True):
+            # What the stored distances alone rule out is not computed.
+            some = asking[np.abs(distance - to_parent) - child.radius <= reach]
+            if len(some):
+                to_child = self.space.distances(points[some], child.centre[None, :])[:, 0]
+                promise = self.space.most_score(squares[some], to_child - child.radius)
+                most[some, child.number] = np.where(promise >= bounds[some], promise, -np.inf)
+                away[some, child.number] = to_child
+
     def _entries(self, leaf: Node, asking: np.ndarray, away: np.ndarray, own, queries, squares, bounds):
-        """Query number, id and score of a leaf's entries that reach the bounds of those asking."""
+        """Query number, id and score of a leaf's entries that reach the bounds of those asking.
+
+        Queries of like ranges of stored distances are answered together, so that one far query
+        does not widen the range of the others."""
         reach = self.space.reach(squares[asking], bounds[asking])
-        low = np.searchsorted(leaf.to_centre, (away - reach).min())
-        high = np.searchsorted(leaf.to_centre, (away + reach).max(), side="right")
-        rows = leaf.rows[low:high]
-        score = queries[asking] @ self.vectors[rows].T
-        q, e = np.nonzero((score >= bounds[asking][:, None]) & (self.ids[rows] != own[asking][:, None]))
-        return asking[q], self.ids[rows[e]], score[q, e]
+        low = np.searchsorted(leaf.to_centre, away - reach)
+        high = np.searchsorted(leaf.to_centre, away + reach, side="right")
+        order = np.lexsort((high, low))
+        order = order[low[order] < high[order]]
+        for start in range(0, len(order), TOGETHER):
+            group = order[start : start + TOGETHER]
+            rows = leaf.rows[low[group].min() : high[group].max()]
+            some = asking[group]
+            score = queries[some] @ self.vectors[rows].T
+            q, e = np.nonzero((score >= bounds[some][:, None]) & (self.ids[rows] != own[some][:, None]))
+            yield some[q], self.ids[rows[e]], score[q, e]
 
 
 _ENTRY = "shard long, copy long, is_query int, id long, v array<int>, bound double"

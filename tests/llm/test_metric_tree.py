@@ -93,6 +93,26 @@ def test_queries_answered_together_are_answered_as_alone():
         assert found[who == i].tolist() == order.tolist() and score[who == i].tolist() == all_scores[order].tolist()
 
 
+def test_scores_found_rule_out_inner_nodes(monkeypatch):
+    """Queries without a bound open few of many nodes, and a far query does not widen the others' ranges."""
+    monkeypatch.setattr(mt, "PAGE", 32)
+    rng = np.random.default_rng(18)
+    x = np.floor(64 * (np.repeat(rng.normal(size=(60, 8)), 100, axis=0) + 0.02 * rng.normal(size=(6000, 8))))
+    tree = mt.MetricTree(np.arange(6000), x, mt.Space(float((x * x).sum(axis=1).max())))
+    counted, plain = [], mt.Space.distances
+    monkeypatch.setattr(mt.Space, "distances", staticmethod(lambda a, b: counted.append(len(a) * len(b)) or plain(a, b)))
+    own = np.arange(0, 6000, 40)
+    who, found, score = tree.search(own, x[own], 20, np.full(len(own), -np.inf))
+    for i, q in enumerate(own):
+        order = np.lexsort((np.arange(6000), -(x @ x[q])))
+        order = order[order != q][:20]
+        assert found[who == i].tolist() == order.tolist() and score[who == i].tolist() == (x @ x[q])[order].tolist()
+    nodes, open_ = 0, [tree.root]
+    while open_:
+        nodes, open_ = nodes + len(open_), [child for node in open_ for child in node.children]
+    assert sum(counted) < 0.5 * nodes * len(own), (sum(counted), nodes * len(own))
+
+
 def test_query_equals_brute_force_and_sql(spark, small):
     rows = spark.read.parquet(f"{small}/embeddings.parquet").collect()
     got = sorted(map(tuple, LLM_QUERIES["op8_metric_tree"](spark, small).collect()))
