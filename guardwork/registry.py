@@ -17,8 +17,9 @@ from guardwork.streaming import broken_folder, broken_so_far, refuse_grants, ref
 
 FleetQuery = Callable[[DerivedFleet], DataFrame]
 
-# Files, and so micro-batches, that the event table is streamed in.
-STREAM_FILES = 3
+# The event table is streamed in as many files as its size asks for, so many of them a micro-batch.
+FILE_RECORDS = 100_000
+BATCH_FILES = 64
 
 
 def _audit(f: DerivedFleet) -> DataFrame:
@@ -68,7 +69,7 @@ def _streamed_broken(f: DerivedFleet) -> DataFrame:
 
 
 def _run_stream(f: DerivedFleet, events: DataFrame, as_grant_events) -> str:
-    """Streams the events, a file at a time, to the end; returns the run's folder."""
+    """Streams the events, some files at a time, to the end; returns the run's folder."""
     spark = f.spark
     folder = shared_folder(spark)
     if folder is None:
@@ -76,10 +77,10 @@ def _run_stream(f: DerivedFleet, events: DataFrame, as_grant_events) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="guardwork-")
     run = f"{folder.rstrip('/')}/refused-grants-{uuid.uuid4().hex}"
-    events.repartition(STREAM_FILES).write.parquet(f"{run}/input")
+    events.write.option("maxRecordsPerFile", FILE_RECORDS).parquet(f"{run}/input")
     arriving = (
         spark.readStream.schema(events.schema)
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", BATCH_FILES)
         .parquet(f"{run}/input")
     )
     stream = refuse_grants(

@@ -2,7 +2,7 @@
 
 import pytest
 
-from guardwork import fixed
+from guardwork import fixed, registry
 from guardwork import operators as ops
 from guardwork.sources.derived import DerivedFleet
 from guardwork.streaming import refuse_grants, refused_so_far
@@ -115,3 +115,12 @@ def test_a_repeated_batch_replaces_its_folder(spark, fleet, tmp_path):
     last.unlink()
     (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
     assert stream(spark, folder, fleet, tmp_path) == first
+
+
+def test_the_registered_stream_has_files_as_its_table(spark, fleet):
+    """Writing the events spreads over their own partitions, however many they are."""
+    events = fleet.given("events").repartition(7)
+    run = registry._run_stream(fleet, events, fleet.as_grant_events)
+    assert len(spark.read.parquet(f"{run}/input").inputFiles()) == 7
+    batch = sorted(r.event_id for r in ops.direct_grants(fleet.grant_events, fleet.principals).collect())
+    assert sorted(r.event_id for r in refused_so_far(spark, f"{run}/output").collect()) == batch
