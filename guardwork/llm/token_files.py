@@ -18,13 +18,9 @@ table gives no files and no rows; other columns are ignored; ids must not be neg
 
 from __future__ import annotations
 
-import re
 import struct
-import unicodedata
 import zlib
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +30,7 @@ from pyspark.sql import functions as F
 
 from guardwork.llm.files import whole_file
 from guardwork.llm.shared import shared_folder, stored
+from guardwork.llm.word_pieces import worker_tokenizer
 from guardwork.llm.words import text_bytes
 
 BLOCK_IDS = 1 << 14
@@ -170,71 +167,6 @@ class TokenFile:
             yield doc_id, start, np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def _byte_letters() -> dict[int, int]:
-    """By byte, the character that stands for it in the vocabulary: itself if it can be seen, or
-    else the next one from 256 on."""
-    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in seen]
-    return {b: b for b in seen} | {b: 256 + i for i, b in enumerate(others)}
-
-
-class WordTokenizer:
-    """Ids of a text by the tokenizers library, remembered per word.
-
-    The tokenizer drops white space and never looks across it, so a text's ids are those of
-    its words.  Words of plain Latin letters go to the library's model in pieces, which are
-    remembered as well; all others go through the library whole.
-    """
-
-    MOST = 250_000
-    LONGEST = 48
-    _PLAIN = re.compile("[\x21-\x7e\xa1-ɏ]+")
-    _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.tokenize = self.library.model.tokenize
-        self.letters = _byte_letters()
-        self.words: dict[str, bytes] = _Remembered(self.word, self.MOST, self.LONGEST)
-        self.pieces: dict[str, bytes] = _Remembered(self.piece, self.MOST, self.LONGEST)
-        # What the library splits off before the words, and letters that fold by their neighbours.
-        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([*special, "[ªº²³¹¼½¾ßİŉǰ]"]))
-
-    def piece(self, piece: str) -> bytes:
-        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
-
-    def word(self, word: str) -> bytes:
-        if self._PLAIN.fullmatch(word) and not self.odd.search(word):
-            pieces = self._PIECES.findall(unicodedata.normalize("NFC", word).lower())
-            return b"".join(map(self.pieces.__getitem__, pieces))
-        return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
-
-    def encode(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.uint32)
-
-
-class _Remembered(dict):
-    def __init__(self, find, most: int, longest: int):
-        super().__init__()
-        self.find, self.most, self.longest = find, most, longest
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.find(key)
-        if len(key) <= self.longest and len(self) < self.most:
-            self[key] = value
-        return value
-
-
-@lru_cache(maxsize=2)
-def worker_tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
-
-
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFrame:
     """Writes the files; returns their manifest: part, number, name, docs, ids."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -256,8 +188,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int) -> D
             return pa.RecordBatch.from_pylist([row])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")), strict=True):
-                found = tokenizer.encode(text.decode("utf-8", "replace"))
+            texts = (text.decode("utf-8", "replace") for text in text_bytes(batch.column("text")))
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), tokenizer.encode_texts(texts), strict=True):
                 doc_ids.append(doc_id)
                 ids += [found, tail]
                 total += len(found) + 1
@@ -268,10 +200,12 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int) -> D
         if doc_ids:
             yield finish()
 
+    # Equal or null ids are dealt out by the starts of their texts, in the same order.
+    by_id, start = F.col("doc_id").asc_nulls_first(), F.substring("text", 1, 64).asc_nulls_first()
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(partitions, F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        .repartitionByRange(partitions, by_id, start)
+        .sortWithinPartitions(by_id, F.col("text").asc_nulls_first())
     )
     return stored(ordered.mapInArrow(write, "part long, number long, name string, docs long, ids long"), "token-manifest")
 

@@ -8,7 +8,9 @@ import pytest
 from tokenizers import Tokenizer
 
 from guardwork.llm import token_files as tf
+from guardwork.llm import word_pieces
 from guardwork.llm.queries import LLM_QUERIES
+from guardwork.llm.word_pieces import PLAIN_END, WordTokenizer
 
 
 @pytest.mark.parametrize("most", [1, 2, 9, 1 << 16, 1 << 30, 1 << 60, (1 << 64) - 1])
@@ -44,7 +46,7 @@ def test_any_range_of_a_file_is_read_by_its_blocks(monkeypatch):
 
 
 def test_words_are_encoded_as_the_library_encodes_texts(word_tokenizer):
-    own, library = tf.WordTokenizer(word_tokenizer), Tokenizer.from_file(word_tokenizer)
+    own, library = WordTokenizer(word_tokenizer), Tokenizer.from_file(word_tokenizer)
     rng = random.Random(10)
     spans = [(0x21, 0x7E), (0x41, 0x7A), (0xA1, 0x24F), (0x370, 0x3FF), (0x300, 0x36F), (0x4E00, 0x4E20)]
     for _ in range(3000):
@@ -54,6 +56,23 @@ def test_words_are_encoded_as_the_library_encodes_texts(word_tokenizer):
         assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_letter_that_arrays_cut(word_tokenizer):
+    own, library = WordTokenizer(word_tokenizer), Tokenizer.from_file(word_tokenizer)
+    frames = ("{0}", "a{0}b", "1{0}2", "!{0}!", " {0}'s", "{0}{0}", "x'{0}s", "'{0}e'll")
+    texts = [frame.format(chr(c)) for c in range(PLAIN_END) for frame in frames]
+    for text, ids in zip(texts, own.encode_texts(texts), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_texts_longer_than_a_stretch_or_a_block(word_tokenizer, monkeypatch):
+    texts = ["don't  stop\nat " * 40, "", "a" * 500, "ends here ", "東京 it's <|endoftext|> " * 30]
+    whole = [ids.tolist() for ids in WordTokenizer(word_tokenizer).encode_texts(texts)]
+    monkeypatch.setattr(word_pieces, "STRETCH", 16)
+    monkeypatch.setattr(word_pieces, "BLOCK", 64)
+    monkeypatch.setattr(word_pieces, "LOT_WORDS", 3)
+    assert [ids.tolist() for ids in WordTokenizer(word_tokenizer).encode_texts(texts)] == whole
+
+
 def expected(docs, path):
     library, start, out = Tokenizer.from_file(path), 0, []
     for doc in sorted(docs, key=lambda d: (d.doc_id is not None, d.doc_id or 0, d.text is not None, (d.text or "").encode())):
