@@ -7,16 +7,20 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from guardwork.llm import (
     byte_bpe,
     metric_tree,
     mixing,
     near_duplicates,
+    packing,
+    periodic_runs,
     quality_rules,
     secret_scan,
     site_quality,
     suffix_repeats,
+    token_alignment,
     token_files,
     warc,
 )
@@ -24,9 +28,13 @@ from guardwork.llm.shared import ship_package, table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 END_ID = 2
 SHINGLE_WORDS = 4
 REPEAT_BYTES = 400
+SEQUENCE_TOKENS = 2048
+PACKED_END_ID = 0
 
 
 def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +86,53 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    return packing.pack(table(spark, sf_dir, "documents"), path, PACKED_END_ID, SEQUENCE_TOKENS).drop("ids")
+
+
+def alignment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_path, piece_path = public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_TOKENIZER)
+    return token_alignment.alignment_report(table(spark, sf_dir, "documents"), byte_path, public_tokenizers.PATTERN, piece_path)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """One document of ten repeats p of its words from word a on, as its id's crc32 h says; a null id changes nothing."""
+    words = docs.withColumn("_h", F.expr("crc32(CAST(CAST(doc_id AS string) AS binary))")).withColumn(
+        "_words", F.when(F.expr("_h % 10 = 0"), F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"))
+    )
+    numbers = words.withColumn("_a", F.expr("(_h div 10) % size(_words)")).withColumn(
+        "_p", F.expr("1 + (size(_words) - _a) div (3 + (_h div 10) % 8)")
+    )
+    changed = "transform(sequence(0, size(_words) - 1), i -> _words[CAST(if(i < _a, i, _a + (i - _a) % _p) AS int)])"
+    return numbers.withColumn(
+        "text", F.expr(f"CASE WHEN size(_words) > 0 THEN array_join({changed}, ' ') ELSE text END")
+    ).drop("_h", "_words", "_a", "_p")
+
+
+#: Of runs by start, then period, the first of the greatest length / period.
+_GREATEST_RUN = """
+    aggregate(slice(runs, 2, greatest(size(runs), 1)), runs[0],
+      (best, r) -> if(r.length * best.period > best.length * r.period, r, best))
+"""
+
+
+def periodic_runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.collapse_runs(planted)
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return found.withColumn("_run", F.expr(f"CASE WHEN size(runs) > 0 THEN {_GREATEST_RUN} END")).selectExpr(
+        "doc_id",
+        "CAST(size(runs) AS long) AS n_runs",
+        "_run.start AS start",
+        "_run.length AS length",
+        "_run.period AS period",
+        "1000 * _run.length div _run.period AS exponent_milli",
+        f"sha2(CAST({lines} AS binary), 256) AS runs_sha256",
+        "sha2(CAST(collapsed AS binary), 256) AS collapsed_sha256",
+    )
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -101,6 +156,9 @@ _QUERIES: dict[str, Query] = {
     "op8_metric_tree": metric_tree_query,
     "op9_warc": warc_query,
     "op10_suffix_repeats": suffix_repeats_query,
+    "op11_packing": packing_query,
+    "op12_token_alignment": alignment_query,
+    "op13_periodic_runs": periodic_runs_query,
 }
 
 LLM_QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
