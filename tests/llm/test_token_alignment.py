@@ -1,5 +1,6 @@
 """Alignment of two tokenizers against plain loops over tokens of their own libraries."""
 
+import bisect
 import hashlib
 import random
 from collections import Counter
@@ -66,7 +67,7 @@ def plain_groups(left, right):
     shared, out, i, j = sorted(set(ends[0]) & set(ends[1])), [], 0, 0
     for end in shared:
         first, second = i, j
-        i, j = ends[0].index(end) + 1, ends[1].index(end) + 1
+        i, j = bisect.bisect_right(ends[0], end), bisect.bisect_right(ends[1], end)
         out.append(([x for x, _ in left[first:i]], [x for x, _ in right[second:j]]))
     return out
 
