@@ -5,8 +5,12 @@ rewrite of the step table.  Installing shifts steps by two behind the new guard;
 removing drops the guard and shifts back; re-installing does both, so the kept steps
 stay where they are and only the guard rows are replaced.
 
-The job rows are made from one numeric aggregate over the steps.  It is combined
-before the shuffle, so a job with very many steps costs no more than any other.
+The job rows are made from numeric aggregates over the steps.  Which step ids a job has is
+kept in bit masks of 62 ids each, which combine by OR: nearly every job is one mask, combined
+before the shuffle, and repeats and gaps are still found exactly.
+
+Tables may have columns of any name besides their own; those travel under neutral names while
+rows are joined and rewritten, so that no name can meet one that is used here.
 """
 
 from __future__ import annotations
@@ -21,7 +25,13 @@ from guardwork.functions.text import ci
 from guardwork.operators.guard import DEFAULT_GUARD, Guard
 from guardwork.operators.requests import NAME_KEY, named_jobs, named_requests
 from guardwork.plans.joins import join_bounded, join_steps, lookup, only_matching
-from guardwork.schemas import HISTORY_STEP_COLUMNS, JOB_KEY, require
+from guardwork.schemas import (
+    CARRIED_STEP_COLUMNS,
+    HISTORY_STEP_COLUMNS,
+    JOB_KEY,
+    column_names,
+    require,
+)
 
 OK = "ok"
 DUPLICATE_REQUEST = "duplicate_request"
@@ -91,29 +101,38 @@ def shift_flow(steps: DataFrame, k: Column | int) -> DataFrame:
     )
 
 
+MASK_IDS = 62
+_PLACE = f"CAST(pmod(CAST(step_id AS bigint) - 1, {MASK_IDS}) AS int)"
+
+
 def step_facts(steps: DataFrame, guard: Guard = DEFAULT_GUARD) -> DataFrame:
     """What the checks need to know of each job's steps: numbers only, one scan.
 
-    Rows of one step id are counted first, so that repeats are found exactly; that also
-    divides a job with very many steps over the tasks.
+    Of each stretch of ``MASK_IDS`` step ids a mask tells which are there.  Ids are repeated
+    where a stretch has more rows than its mask has bits.  A job with very many steps has many
+    stretches, which are dealt out over the tasks.
     """
     into_guard = "step_id > 2 AND (on_success_step_id IN (1, 2) OR on_fail_step_id IN (1, 2))"
-    per_step = (
+    per_stretch = (
         require(steps, "steps")
-        .groupBy(*JOB_KEY, "step_id")
+        .groupBy(*JOB_KEY, F.expr(f"floor((CAST(step_id AS bigint) - 1) / {MASK_IDS})").alias("_stretch"))
         .agg(
             F.count(F.lit(1)).alias("_rows"),
+            F.expr(f"bit_or(shiftleft(1L, {_PLACE}))").alias("_mask"),
+            F.min("step_id").alias("_first"),
+            F.max("step_id").alias("_last"),
             F.max(guard.is_step_1()).alias("_guard_1"),
             F.max(guard.is_step_2()).alias("_guard_2"),
             F.expr("max(CASE WHEN step_id = 1 THEN on_success_step_id END)").alias("_target"),
             F.expr(f"max({into_guard})").alias("_into_guard"),
         )
     )
-    return per_step.groupBy(*JOB_KEY).agg(
+    return per_stretch.groupBy(*JOB_KEY).agg(
         F.sum("_rows").alias("n_steps"),
-        F.min("step_id").alias("min_step_id"),
-        F.max("step_id").alias("max_step_id"),
-        (F.max("_rows") > 1).alias("repeats"),
+        F.min("_first").alias("min_step_id"),
+        F.max("_last").alias("max_step_id"),
+        # Steps without an id have no mask; more than one of them are repeats as well.
+        F.expr("max(_rows > coalesce(bit_count(_mask), 1))").alias("repeats"),
         F.max("_guard_1").alias("has_guard_1"),
         F.max("_guard_2").alias("has_guard_2"),
         F.max("_target").alias("step_1_target"),
@@ -121,6 +140,18 @@ def step_facts(steps: DataFrame, guard: Guard = DEFAULT_GUARD) -> DataFrame:
     )
 
 
+_OWN = {
+    "steps": {*column_names("steps"), *CARRIED_STEP_COLUMNS, *HISTORY_STEP_COLUMNS},
+    "jobs": {*column_names("jobs")},
+}
+
+
+def _neutral(df: DataFrame, table: str) -> DataFrame:
+    """The table with its extra columns under names that nothing else has; ``toDF`` undoes it."""
+    require(df, table)
+    return df.toDF(*(c if c in _OWN[table] else f"_extra_{i}" for i, c in enumerate(df.columns)))
+
+
 def _requested_once(requests: DataFrame) -> DataFrame:
     """One row per requested job; repeated requests are counted, not multiplied."""
     names = [c for c in ("job_name", "config_name") if c in requests.columns]
@@ -202,7 +233,7 @@ def install_check(
     guard: Guard = DEFAULT_GUARD,
 ) -> DataFrame:
     """Per requested job the first reason against installing, or ``ok``."""
-    return _per_request(requests, _install_plan(requests, jobs, steps, run_config, guard))
+    return _per_request(requests, install_plan(requests, jobs, steps, run_config, guard))
 
 
 def _per_request(requests: DataFrame, plan: DataFrame) -> DataFrame:
@@ -215,7 +246,7 @@ def _per_request(requests: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def _install_plan(
+def install_plan(
     requests: DataFrame,
     jobs: DataFrame,
     steps: DataFrame,
@@ -246,10 +277,10 @@ def remove_check(
 ) -> DataFrame:
     """Per job to be unguarded the first reason against it, or ``ok``."""
     named = requests.select("server_id", "job_name")
-    return _per_request(named, _remove_plan(requests, jobs, steps, guard))
+    return _per_request(named, remove_plan(requests, jobs, steps, guard))
 
 
-def _remove_plan(
+def remove_plan(
     requests: DataFrame, jobs: DataFrame, steps: DataFrame, guard: Guard
 ) -> DataFrame:
     asked = _with_job_facts(requests.select("server_id", "job_name"), jobs, steps, guard)
@@ -270,12 +301,14 @@ def _raise_if_refused(checks: DataFrame) -> None:
 
 
 def _without_guard(
-    steps: DataFrame, changes: DataFrame, bound: DataFrame
+    given: DataFrame, changes: DataFrame, bound: DataFrame
 ) -> DataFrame:
     """Drop the guard rows of the changed jobs and move their other steps back."""
+    steps = _neutral(given, "steps")
     todo = changes.select(*JOB_KEY, "max_step_id", F.lit(-2).alias("_shift"))
     kept = join_steps(steps, todo, bound).where("_shift IS NULL OR step_id > 2")
-    return shift_flow(kept, F.coalesce("_shift", F.lit(0))).select(*steps.columns)
+    moved = shift_flow(kept, F.coalesce("_shift", F.lit(0))).select(*steps.columns)
+    return moved.toDF(*given.columns)
 
 
 # What a step becomes: 0 is the step itself, 1 and 2 are new guard rows.  The first
@@ -326,13 +359,14 @@ def _row_columns(steps: DataFrame, guard: Guard) -> dict[str, str]:
 
 
 def _with_guard(
-    steps: DataFrame, plan: DataFrame, bound: DataFrame, guard: Guard
+    given: DataFrame, plan: DataFrame, bound: DataFrame, guard: Guard
 ) -> DataFrame:
     """Put new guard rows in front of the accepted jobs, in one pass over the steps."""
+    steps = _neutral(given, "steps")
     todo = plan.where(F.col("reason") == OK).selectExpr(*JOB_KEY, "max_step_id", *_CHANGE)
     joined = join_steps(steps, todo, bound).withColumn("_row", F.explode(F.expr(_BECOMES)))
     columns = _row_columns(steps, guard)
-    return joined.selectExpr(*[f"{sql} AS `{c}`" for c, sql in columns.items()])
+    return joined.selectExpr(*[f"{sql} AS `{c}`" for c, sql in columns.items()]).toDF(*given.columns)
 
 
 def _guard_rows(guard: Guard) -> dict[str, tuple[str, str]]:
@@ -364,13 +398,15 @@ def _guard_rows(guard: Guard) -> dict[str, tuple[str, str]]:
     }
 
 
-def _restart(jobs: DataFrame, changes: DataFrame, bound: DataFrame) -> DataFrame:
+def _restart(given: DataFrame, changes: DataFrame, bound: DataFrame) -> DataFrame:
     """The job table with the new start steps."""
+    jobs = _neutral(given, "jobs")
     starts = changes.select(*JOB_KEY, "_new_start")
     return (
         join_bounded(jobs, starts, JOB_KEY, bound)
         .withColumn("start_step_id", F.coalesce("_new_start", "start_step_id"))
         .select(*jobs.columns)
+        .toDF(*given.columns)
     )
 
 
@@ -388,15 +424,22 @@ def install_guard_steps(
     is refused instead.  ``strict`` works out the checks at once; store them first if the
     tables are large (``install_check``), as writing the result works them out again.
     """
-    plan = _install_plan(requests, jobs, steps, run_config, guard)
-    checks = _per_request(requests, plan)
+    plan = install_plan(requests, jobs, steps, run_config, guard)
+    flow = install_flow(plan, requests, jobs, steps, guard)
     if strict:
-        _raise_if_refused(checks)
+        _raise_if_refused(flow.checks)
+    return flow
+
+
+def install_flow(
+    plan: DataFrame, requests: DataFrame, jobs: DataFrame, steps: DataFrame, guard: Guard
+) -> Flow:
+    """The flow of an install plan, which may have been stored meanwhile."""
     starts = plan.where(F.col("reason") == OK).select(*JOB_KEY, F.lit(1).alias("_new_start"))
     return Flow(
         steps=_with_guard(steps, plan, requests, guard),
         jobs=_restart(jobs, starts, requests),
-        checks=checks,
+        checks=_per_request(requests, plan),
     )
 
 
@@ -408,20 +451,28 @@ def remove_guard_steps(
     strict: bool = False,
 ) -> Flow:
     """Take the guard off the named jobs and let them start on their real start step."""
-    plan = _remove_plan(requests, jobs, steps, guard)
-    checks = _per_request(requests.select("server_id", "job_name"), plan)
+    flow = remove_flow(remove_plan(requests, jobs, steps, guard), requests, jobs, steps)
     if strict:
-        _raise_if_refused(checks)
+        _raise_if_refused(flow.checks)
+    return flow
+
+
+def remove_flow(plan: DataFrame, requests: DataFrame, jobs: DataFrame, steps: DataFrame) -> Flow:
+    """The flow of a removal plan, which may have been stored meanwhile."""
     changes = plan.where(F.col("reason") == OK).select(
         *JOB_KEY, "max_step_id", (F.col("step_1_target") - 2).alias("_new_start")
     )
     return Flow(
         steps=_without_guard(steps, changes, requests),
         jobs=_restart(jobs, changes, requests),
-        checks=checks,
+        checks=_per_request(requests.select("server_id", "job_name"), plan),
     )
 
 
+# What a listing says besides the steps' own columns.
+_LISTED = {"job_name", "start_step_id", "phase"}
+
+
 def install_preview(
     requests: DataFrame,
     jobs: DataFrame,
@@ -432,9 +483,12 @@ def install_preview(
     """The requested jobs before and after an install, by job name and step.
 
     Nothing is written; the phase column tells the two listings apart.  Both come from
-    one pass over the steps.  A job without steps is listed with nulls.
+    one pass over the steps.  A job without steps is listed with nulls.  An extra step column
+    that has the name of a listed one is listed as that of the step (``job_name_of_step``).
     """
-    known = _install_plan(requests, jobs, steps, run_config, guard).where("job_id IS NOT NULL")
+    given, steps = steps, _neutral(steps, "steps")
+    names = [f"{c}_of_step" if c.lower() in _LISTED else c for c in given.columns]
+    known = install_plan(requests, jobs, steps, run_config, guard).where("job_id IS NOT NULL")
     listed = known.selectExpr(
         *JOB_KEY, "job_name", "start_step_id", "max_step_id", *_CHANGE
     )
@@ -453,6 +507,8 @@ def install_preview(
     stepless = listed.where(~has_steps).selectExpr(
         *JOB_KEY, "job_name", "start_step_id", "explode(array('before', 'after')) AS phase"
     )
-    return stepped.unionByName(stepless, allowMissingColumns=True).orderBy(
+    listing = stepped.unionByName(stepless, allowMissingColumns=True).orderBy(
         F.desc("phase"), "job_name", "server_id", "step_id"
     )
+    names = dict(zip(steps.columns, names, strict=True))
+    return listing.toDF(*(names.get(c, c) for c in listing.columns))

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from guardwork.functions.text import ci
 from guardwork.operators.guard import DEFAULT_GUARD, Guard
 from guardwork.plans.joins import lookup, lookup_repeated, only_matching
-from guardwork.schemas import JOB_KEY, require
+from guardwork.schemas import JOB_KEY, column_names, require
 
 NAME_KEY = ["server_id", "_job"]
 
 
 def named_requests(requests: DataFrame) -> DataFrame:
-    """Requests with the lookup key of their job."""
-    return requests.withColumn("_job", ci("job_name"))
+    """Requests' own columns with the lookup key of their job; a removal names no config."""
+    own = [c for c in column_names("requests") if c in requests.columns]
+    return requests.select(*own, ci("job_name").alias("_job"))
 
 
 def named_jobs(jobs: DataFrame) -> DataFrame:
@@ -78,7 +79,8 @@ def requests_missing_configs(requests: DataFrame, run_config: DataFrame) -> Data
     configs = require(run_config, "run_config").select(
         "server_id", ci("config_name").alias("_config")
     )
-    asked = require(requests, "requests").withColumn("_config", ci("config_name"))
+    own = require(requests, "requests").select(*column_names("requests"))
+    asked = own.withColumn("_config", ci("config_name"))
     return lookup(
         asked, configs, ["server_id", "_config"], spread=["job_name"], how="left_anti"
     ).select("server_id", "job_name", "config_name")

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from guardwork.plans.rows import most_rows
+
 SALTS = 16
 STEPS_PER_RANGE = 100_000
 # Bytes of a value in memory by type; a text counts as the planner counts it.
@@ -20,6 +22,8 @@ _WIDTH = {"boolean": 1, "integer": 4, "long": 8, "double": 8, "string": 20, "tim
 UNKNOWN = 1 << 62
 # Rows of one key that are worth dividing.
 HEAVY_ROWS = 100_000
+# Counters of the sketch that looks for them.
+MOST_TRACKED = 100_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -49,17 +53,18 @@ def row_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(bound: DataFrame) -> bool:
-    """True if the table stays below the broadcast threshold, by size and by rows.
+    """True if the table is known to stay below the broadcast threshold, by size and by rows.
 
     The size estimate of a stored table is that of its compressed files, which says little
-    about a table that repeats itself.  So a table that seems small also has its rows
-    counted, up to the number that the threshold allows; no more are read.
+    about a table that repeats itself.  So the rows that it can have at most are asked of
+    stored metadata as well (``most_rows``); no job runs for that.  Where nothing is known
+    there is no hint, and adaptive execution decides by the sizes it meets.
     """
     limit = broadcast_limit(bound)
     if limit <= 0 or estimated_bytes(bound) > limit:
         return False
-    most = max(1, limit // row_bytes(bound))
-    return bound.limit(most + 1).count() <= most
+    rows = most_rows(bound)
+    return rows is not None and rows <= max(1, limit // row_bytes(bound))
 
 
 def lookup(
@@ -101,35 +106,52 @@ def lookup_repeated(
 ) -> DataFrame:
     """``lookup`` for rows that can be counted cheaply first.
 
-    Keys of more than ``HEAVY_ROWS`` rows are divided over all shuffle partitions, and only
-    their rows of the table are repeated.  Rows without a key match nothing; they are
-    divided as well.  The list of heavy keys is as long as the rows over ``HEAVY_ROWS``
-    at most.
+    Keys of very many rows are divided over all shuffle partitions, and only their rows of
+    the table are repeated.  They are found by a frequent-items sketch: its list holds a key
+    a shuffle partition at most, and every key with more than a few partitions' share of the
+    rows.  What the sketch gets wrong changes how keys are dealt out, never the result.  Rows without
+    a key match nothing; they are divided as well.
     """
     on = list(on)
     if fits_broadcast(table):
         return rows.join(F.broadcast(table), on, how)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = (
-        rows.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > HEAVY_ROWS)
-        .select(*on, F.lit(True).alias("_heavy"))
-    )
+    heavy = heavy_keys(rows, on, parts)
     keyless = F.array_contains(F.array(*[F.col(c).isNull() for c in on]), True)
     part = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(parts)).cast("int")
-    divided = rows.join(F.broadcast(heavy), on, "left").withColumn(
-        "_salt", F.when(F.col("_heavy") | keyless, part).otherwise(F.lit(0))
+    named = F.xxhash64(*[F.col(c) for c in on])
+    divided = (
+        rows.withColumn("_key_hash", named)
+        .join(F.broadcast(heavy), "_key_hash", "left")
+        .withColumn("_salt", F.when(F.col("_heavy") | keyless, part).otherwise(F.lit(0)))
     )
-    repeated = table.join(F.broadcast(heavy), on, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+    repeated = (
+        table.withColumn("_key_hash", named)
+        .join(F.broadcast(heavy), "_key_hash", "left")
+        .withColumn(
+            "_salt",
+            F.explode(
+                F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
+                    F.array(F.lit(0))
+                )
+            ),
+        )
+    )
+    divided, repeated = (df.drop("_heavy", "_key_hash") for df in (divided, repeated))
+    return divided.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def heavy_keys(rows: DataFrame, on: Sequence[str], most: int) -> DataFrame:
+    """Hashes of keys (``_key_hash``) with more than ``HEAVY_ROWS`` rows, at most ``most`` of them.
+
+    The sketch keeps a bounded number of counters, whatever the number of keys.
+    """
+    tracked = min(MOST_TRACKED, max(64, 16 * most))
+    sketch = F.expr(f"approx_top_k(xxhash64({', '.join(f'`{c}`' for c in on)}), {min(most, tracked)}, {tracked})")
+    found = rows.agg(F.explode(sketch).alias("_found"))
+    return found.where(F.col("_found.count") > HEAVY_ROWS).select(
+        F.col("_found.item").alias("_key_hash"), F.lit(True).alias("_heavy")
     )
-    return divided.drop("_heavy").join(repeated.drop("_heavy"), [*on, "_salt"], how).drop("_salt")
 
 
 def only_matching(

@@ -13,6 +13,7 @@ from guardwork import operators as ops
 from guardwork.session import shared_folder
 from guardwork.sources.awkward import AwkwardFleet
 from guardwork.sources.derived import DerivedFleet
+from guardwork.sources.flow_store import FlowStore, Published
 from guardwork.streaming import broken_folder, broken_so_far, refuse_grants, refused_so_far
 
 FleetQuery = Callable[[DerivedFleet], DataFrame]
@@ -68,15 +69,34 @@ def _streamed_broken(f: DerivedFleet) -> DataFrame:
     return broken_so_far(f.spark, broken_folder(f"{run}/output"))
 
 
-def _run_stream(f: DerivedFleet, events: DataFrame, as_grant_events) -> str:
-    """Streams the events, some files at a time, to the end; returns the run's folder."""
-    spark = f.spark
+def _run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors reach; only a session on this machine may do without a
+    shared one."""
     folder = shared_folder(spark)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="guardwork-")
-    run = f"{folder.rstrip('/')}/refused-grants-{uuid.uuid4().hex}"
+        folder = f"file://{tempfile.mkdtemp(prefix='guardwork-')}"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _published(f: DerivedFleet, change: Callable[[FlowStore], Published]) -> ops.Flow:
+    """A change of the installed tables, as a reader of the store finds it."""
+    store = FlowStore(f.spark, _run_folder(f.spark, "flow"))
+    store.create(f.jobs_installed, f.steps_installed)
+    published = change(store)
+    jobs, steps = store.read()
+    return ops.Flow(steps=steps, jobs=jobs, checks=published.checks)
+
+
+def _published_reinstall(f: DerivedFleet) -> ops.Flow:
+    return _published(f, lambda store: store.install(f.requests, f.run_config))
+
+
+def _run_stream(f: DerivedFleet, events: DataFrame, as_grant_events) -> str:
+    """Streams the events, some files at a time, to the end; returns the run's folder."""
+    spark = f.spark
+    run = _run_folder(spark, "refused-grants")
     events.write.option("maxRecordsPerFile", FILE_RECORDS).parquet(f"{run}/input")
     arriving = (
         spark.readStream.schema(events.schema)
@@ -143,6 +163,10 @@ FLEET_QUERIES: dict[str, FleetQuery] = {
     "remove_job_starts": lambda f: _removed(f).jobs,
     "reinstall_guard_steps": lambda f: _reinstalled(f).steps,
     "reinstall_job_starts": lambda f: _reinstalled(f).jobs,
+    "published_reinstall_steps": lambda f: _published_reinstall(f).steps,
+    "published_reinstall_job_starts": lambda f: _published_reinstall(f).jobs,
+    "published_reinstall_check": lambda f: _published_reinstall(f).checks,
+    "published_removal_steps": lambda f: _published(f, lambda store: store.remove(f.requests)).steps,
     "grantees": lambda f: ops.grantees(f.grant_events),
     "direct_grants": lambda f: ops.direct_grants(f.grant_events, f.principals),
     "refused_grants": lambda f: ops.refused_grants(f.grant_events, f.principals),

@@ -1,11 +1,15 @@
 """Installing, removing and re-installing guards."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from guardwork import fixed
 from guardwork import operators as ops
+from guardwork.operators.flow import step_facts
 from guardwork.schemas import CARRIED_STEP_COLUMNS, HISTORY_STEP_COLUMNS, TABLES
+from guardwork.sources.derived import DerivedFleet
 
 S1, S2 = fixed.GUARD_STEP_1_NAME, fixed.GUARD_STEP_2_NAME
 HOME = ops.Guard(database="DBA")
@@ -260,3 +264,79 @@ def test_shift_keeps_no_target(table):
     steps = table("steps", (1, 1, 3, "s", "TSQL", "x", 4, 4, 2, 0, "DBA"))
     moved = ops.shift_flow(steps, -2)
     assert rows(moved, "step_id", "on_success_step_id", "on_fail_step_id") == [(1, 2, 0)]
+
+
+CLASHING = (
+    "_row _range _had_guard _config _configs _first_step _shift _salt _job _new_start _extra_0 _stretch max_step_id "
+    "reason n_jobs config_name job_name phase start_step_id _key_hash owner's.note"
+).split()
+
+
+def with_clashes(df):
+    """A text of its own in each column whose name an operator might use."""
+    names = [c for c in CLASHING if c not in df.columns]
+    given = df.select("*", *[F.concat(F.lit(f"{c} "), F.col("job_id")).alias(c) for c in names])
+    return given, names
+
+
+@pytest.mark.parametrize("plans", ["short lists", "no_broadcast"])
+def test_columns_of_any_name_travel_along(spark, small, tmp_path, request, plans):
+    if plans == "no_broadcast":
+        request.getfixturevalue("no_broadcast")
+    fleet = DerivedFleet(spark, small)
+    tables = {}
+    for name in ("requests", "jobs_plain", "steps_plain", "jobs_installed", "steps_installed", "run_config"):
+        getattr(fleet, name).write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    requests, config = tables["requests"], tables["run_config"]
+    asked, _ = with_clashes(requests.withColumn("job_id", F.lit(0)))
+
+    def flows(kind, requests, jobs, steps):
+        if kind == "remove":
+            return ops.remove_guard_steps(requests, jobs, steps)
+        return ops.install_guard_steps(requests, jobs, steps, config)
+
+    for kind, state in (("install", "plain"), ("reinstall", "installed"), ("remove", "installed")):
+        jobs, steps = tables[f"jobs_{state}"], tables[f"steps_{state}"]
+        plain = flows(kind, requests, jobs, steps)
+        wide_jobs, job_names = with_clashes(jobs)
+        wide_steps, step_names = with_clashes(steps)
+        wide = flows(kind, asked, wide_jobs, wide_steps)
+        assert wide.steps.columns == wide_steps.columns and wide.jobs.columns == wide_jobs.columns
+        assert same(wide.steps.select(steps.columns), plain.steps)
+        assert same(wide.jobs.select(jobs.columns), plain.jobs)
+        assert same(wide.checks, plain.checks)
+        new_guards = F.col("step_id").isin(1, 2)
+        for df, names in ((wide.steps.where(~new_guards), step_names), (wide.jobs, job_names)):
+            wrong = F.lit(False)
+            for c in names:
+                wrong = wrong | ~F.col(f"`{c}`").eqNullSafe(F.concat(F.lit(f"{c} "), F.col("job_id")))
+            assert df.count() and df.where(wrong).isEmpty()
+
+    plain = ops.install_preview(requests, tables["jobs_plain"], tables["steps_plain"], config)
+    wide_steps, names = with_clashes(tables["steps_plain"])
+    wide = ops.install_preview(asked, with_clashes(tables["jobs_plain"])[0], wide_steps, config)
+    assert same(wide.select(plain.columns), plain)
+    for c in names:
+        listed = f"{c}_of_step" if c in ("job_name", "phase", "start_step_id") else c
+        told = F.concat(F.lit(f"{c} "), F.col("job_id"))
+        assert wide.where(F.col("step_id") > 2).where(~F.col(f"`{listed}`").eqNullSafe(told)).isEmpty()
+
+
+def test_facts_of_odd_step_ids(spark):
+    """Masks against counts of single ids: repeats, gaps, ids below 1, null ids, far ids."""
+    rng = random.Random(62)
+    jobs = {
+        job: [rng.choice([None, *range(-130, 200), 2**31 - 1, -(2**31)]) for _ in range(rng.randrange(1, 12))]
+        for job in range(300)
+    }
+    jobs |= {300: list(range(1, 200)), 301: [*range(1, 200), 63], 302: [None, None], 303: [None], 304: [1, 63, 125]}
+    schema = TABLES["steps"]
+    rows = [(1, job, i, None, None, None, 1, 0, 2, 0, None) for job, ids in jobs.items() for i in ids]
+    facts = {r.job_id: r for r in step_facts(spark.createDataFrame(rows, schema)).collect()}
+    for job, ids in jobs.items():
+        known = [i for i in ids if i is not None]
+        found = facts[job]
+        assert found.n_steps == len(ids)
+        assert found.repeats == (len(set(ids)) < len(ids))
+        assert (found.min_step_id, found.max_step_id) == (min(known, default=None), max(known, default=None))

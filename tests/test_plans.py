@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from guardwork import operators as ops
 from guardwork.plans.inspect import count_nodes, plan_text
+from guardwork.plans.rows import most_rows
 from guardwork.registry import FLEET_QUERIES
 from guardwork.sources.derived import TABLE_NAMES, DerivedFleet
 
@@ -153,3 +154,46 @@ def test_a_far_start_does_not_bring_all_steps_into_the_audit(spark, stored, no_b
     steps = stored.steps_installed
     usual = steps.where(_may_be_start(stored.jobs_installed, steps, DEFAULT_GUARD)).count()
     assert steps.where(_may_be_start(far, steps, DEFAULT_GUARD)).count() == usual < steps.count()
+
+
+PLANS = {
+    "install": lambda t: ops.install_guard_steps(t.requests, t.jobs_plain, t.steps_plain, t.run_config).steps,
+    "reinstall": lambda t: ops.install_guard_steps(
+        t.requests, t.jobs_installed, t.steps_installed, t.run_config
+    ).steps,
+    "remove": lambda t: ops.remove_guard_steps(t.requests, t.jobs_installed, t.steps_installed).steps,
+    "remove check": lambda t: ops.remove_check(t.requests, t.jobs_installed, t.steps_installed),
+    "preview": lambda t: ops.install_preview(t.requests, t.jobs_plain, t.steps_plain, t.run_config),
+    "decision": lambda t: ops.run_decision(t.requests, *states(t)),
+    "missing jobs": lambda t: ops.requests_missing_jobs(t.requests, t.jobs_plain),
+}
+
+
+@pytest.mark.parametrize("name", PLANS)
+def test_no_job_runs_while_a_plan_is_built(spark, stored, name):
+    context = spark.sparkContext
+    context.setJobGroup(f"building {name}", "")
+    try:
+        PLANS[name](stored)
+        assert list(context.statusTracker().getJobIdsForGroup(f"building {name}")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", ["install", "reinstall", "remove", "remove check"])
+def test_no_aggregate_has_a_key_for_each_step(stored, no_broadcast, name):
+    text = plan_text(PLANS[name](stored))
+    keys = [line.split("keys=[")[1].split("]")[0] for line in text.splitlines() if "Aggregate(keys=[" in line]
+    assert keys and not any("step_id" in key for key in keys)
+    assert any("_stretch" in key or "_groupingexpression" in key for key in keys)
+
+
+def test_rows_are_bounded_by_metadata(spark, stored):
+    rows = stored.requests.count()
+    assert most_rows(stored.requests) == rows
+    assert most_rows(stored.requests.where("server_id = 1").select("job_name").distinct()) == rows
+    assert most_rows(stored.requests.unionByName(stored.requests)) == 2 * rows
+    assert most_rows(stored.requests.join(stored.run_config, "server_id", "left_semi")) == rows
+    assert most_rows(stored.requests.join(stored.run_config, "server_id")) is None
+    assert most_rows(stored.requests.selectExpr("explode(array(1, 2))")) is None
+    assert most_rows(spark.range(7).toDF("x")) == 7
