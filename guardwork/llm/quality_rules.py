@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from guardwork.llm.worker_memory import at_work
 from guardwork.llm.words import (
     CODE_POINT,
     Block,
@@ -197,17 +198,26 @@ def grow_forest(
     rate: float = 0.2,
     bins: int = 32,
     penalty: float = 1.0,
-    least: float = 5.0,
+    least: int = 3,
 ) -> Forest:
-    """Boosts trees on the logistic loss, with splits at quantiles of each feature."""
+    """Boosts trees on the logistic loss, with splits at quantiles of each feature.
+
+    Rare bad documents count as much as the good ones while the trees grow, and splits are tried at
+    the quantiles of either kind; a leaf has `least` rows or more.  The odds of a document are
+    then those among documents as frequent as in the sample.
+    """
     rows = len(y)
     if rows == 0 or y.min() == y.max():
         leaf = np.zeros(1)
         return Forest(np.zeros(0, int), leaf.astype(int), leaf, leaf.astype(int), leaf.astype(int), leaf, 0, 0.0)
-    cuts = [np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1])) for column in x.T]
+    steps = np.linspace(0, 1, bins + 1)
+    kinds = [x[y == kind] for kind in (0, 1)]
+    cuts = [np.unique(np.concatenate([np.quantile(k[:, f], steps) for k in kinds])) for f in range(x.shape[1])]
     place = np.column_stack([np.searchsorted(c, column) for c, column in zip(cuts, x.T, strict=True)])
-    base = float(np.log(y.mean() / (1 - y.mean())))
-    score = np.full(rows, base)
+    share = float(y.mean())
+    weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
+    base = float(np.log(share / (1 - share)))
+    score = np.zeros(rows)
     nodes: list[Node] = []
     roots = []
 
@@ -222,11 +232,12 @@ def grow_forest(
                 continue
             left_g = np.cumsum(np.bincount(place[at, f], g[at], len(cut) + 1))[:-1]
             left_h = np.cumsum(np.bincount(place[at, f], h[at], len(cut) + 1))[:-1]
+            left_n = np.cumsum(np.bincount(place[at, f], minlength=len(cut) + 1))[:-1]
             right_g, right_h = total_g - left_g, total_h - left_h
             gain = left_g**2 / (left_h + penalty) + right_g**2 / (right_h + penalty) - total_g**2 / (total_h + penalty)
             left = np.clip(-left_g / (left_h + penalty), low, high)
             right = np.clip(-right_g / (right_h + penalty), low, high)
-            allowed = (left_h >= least) & (right_h >= least)
+            allowed = (left_n >= least) & (len(at) - left_n >= least)
             if monotonic[f]:
                 allowed &= monotonic[f] * (right - left) >= 0
             gain = np.where(allowed, gain, -np.inf)
@@ -258,7 +269,7 @@ def grow_forest(
 
     for _ in range(trees):
         p = 1 / (1 + np.exp(-score))
-        roots.append(grow(np.arange(rows), p - y, p * (1 - p), 0, -np.inf, np.inf))
+        roots.append(grow(np.arange(rows), weight * (p - y), weight * p * (1 - p), 0, -np.inf, np.inf))
     feature, threshold, left, right, value = (np.array(column) for column in zip(*nodes, strict=True))
     return Forest(np.array(roots), feature, threshold, left, right, value, depth, base)
 
@@ -278,6 +289,7 @@ def fit_forest(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("quality_rules")
         for batch in batches:
             s = statistics_of(text_bytes(batch.column("text")))
             rows = np.flatnonzero(~base_failed(s))
@@ -315,6 +327,7 @@ def quality_rules(docs: DataFrame, forest: Forest, keep: float = KEEP_LOG_ODDS)
     )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("quality_rules")
         for batch in batches:
             s, score, kept = _judged(text_bytes(batch.column("text")), forest, keep)
             columns = [batch.column("doc_id"), *(pa.array(s[name], pa.int64()) for name in STATISTICS)]
@@ -328,6 +341,7 @@ def quality_filter(docs: DataFrame, forest: Forest, keep: float = KEEP_LOG_ODDS)
     """The kept documents, with all their columns."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("quality_rules")
         for batch in batches:
             texts = text_bytes(batch.column(batch.schema.get_field_index("text")))
             yield batch.filter(pa.array(_judged(texts, forest, keep)[2]))

@@ -91,6 +91,24 @@ def test_held_out_documents(spark, medium):
     assert np.mean(bad) < 0.3
 
 
+def test_kept_documents_by_walking_the_trees(spark, small):
+    """Every document of the query again: its features down each tree, node by node."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    forest = qr.fit_forest(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    rows = {r.doc_id: r for r in qr.quality_rules(docs, forest).collect()}
+    for d in docs.collect():
+        s = qr.statistics_of([(d.text or "").encode()])
+        total = forest.base
+        for at in forest.roots:
+            while forest.left[at] != at:
+                low = qr.features_of(s)[0, forest.feature[at]] <= forest.threshold[at]
+                at = forest.left[at] if low else forest.right[at]
+            total += forest.value[at]
+        row = rows[d.doc_id]
+        assert row.log_odds == pytest.approx(total)
+        assert row.kept == (not row.base_failed and total >= qr.KEEP_LOG_ODDS)
+
+
 def test_without_labels_the_base_rules_decide(documents, llm):
     docs = documents(["too short", "enough words to pass all of the base rules without trouble at all"])
     forest = qr.fit_forest(docs, llm.createDataFrame([], "doc_id long, quality int, toxic int"))
