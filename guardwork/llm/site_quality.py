@@ -29,12 +29,14 @@ from pyspark.sql import types as T
 from guardwork.llm.quality_rules import FEATURES, features_of, statistics_of
 from guardwork.llm.shared import stored
 from guardwork.llm.words import blocks, text_bytes, word_hashes, words_of
+from guardwork.llm.worker_memory import at_work
 
 #: Labelled documents that the classifier is fitted on at most, the smallest hashes of their ids.
 FIT_ROWS = 10_000
 #: Words that the classifier weighs, those that tell the kinds apart best.
 MOST_WORDS = 2_000
-LEAST_DOCUMENTS = 5
+LEAST_DOCUMENTS = 3
+LEAST_GAP = 4.0
 #: Bounds of the documents' worth that a group's prior has.
 LEAST_PRIOR, MOST_PRIOR = 1.0, 1e6
 KEEP = 0.5
@@ -81,32 +83,49 @@ def distinct_words(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def fit(texts: list[bytes], good: np.ndarray, steps: int = 300, penalty: float = 1e-3) -> Evidence:
-    """Logistic regression by accelerated gradient steps."""
+def _gap(count, in_good, share: float):
+    """Chi-square of a word's presence, from the expected counts; of numbers, or of columns."""
+    return (in_good - count * share) ** 2 / (count * share * (1 - share))
+
+
+def fit(texts: list[bytes], good: np.ndarray) -> Evidence:
+    """The classifier of some texts at hand; `fit_evidence` gives the same from tables."""
     x = features_of(statistics_of(texts)) if texts else np.zeros((0, len(FEATURES)))
-    centre = x.mean(axis=0) if len(x) else np.zeros(x.shape[1])
-    spread = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(x.shape[1])
-    none = np.zeros(0)
     if not len(good) or good.min() == good.max():
-        return Evidence(none.astype(np.uint64), none, centre, spread, np.zeros(x.shape[1]), 0.0)
+        return _solved(x, [], np.zeros(0, np.uint64), good)
     sets = distinct_words(texts)
     words, count = np.unique(np.concatenate(sets), return_counts=True)
     of_good, good_count = np.unique(np.concatenate([s for s, g in zip(sets, good, strict=True) if g]), return_counts=True)
     in_good = np.zeros(len(words))
     in_good[np.searchsorted(words, of_good)] = good_count
     share = good.mean()
-    # Chi-square of the word's presence, from the expected counts.
-    gap = (in_good - count * share) ** 2 / (count * share * (1 - share))
-    gap[count < LEAST_DOCUMENTS] = -1
+    gap = _gap(count, in_good, share)
+    # Words of good documents tell their length above all; what is weighed are words of bad ones.
+    gap[(count < LEAST_DOCUMENTS) | (in_good >= count * share)] = -1
     chosen = np.sort(np.argsort(-gap, kind="stable")[:MOST_WORDS])
-    chosen = chosen[gap[chosen] > 4]
-    words = words[chosen]
-    present = np.zeros((len(texts), len(words)), np.float32)
-    for i, s in enumerate(sets):
-        at = np.searchsorted(words, s)
-        at = at[(at < len(words)) & (words[np.minimum(at, max(len(words) - 1, 0))] == s)] if len(words) else at[:0]
-        present[i, at] = 1
-    z = np.column_stack((present, ((x - centre) / spread).astype(np.float32), np.ones(len(x), np.float32)))
+    words = words[chosen[gap[chosen] > LEAST_GAP]]
+    return _solved(x, [places_of(s, words) for s in sets], words, good)
+
+
+def places_of(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Places in `words` (sorted) of those hashes that are there."""
+    at = np.searchsorted(words, hashes)
+    at = at[at < len(words)] if len(words) else at[:0]
+    return at[np.isin(words[at], hashes)] if len(at) else at
+
+
+def _solved(x: np.ndarray, present: list[np.ndarray], words: np.ndarray, good: np.ndarray, steps: int = 300, penalty: float = 1e-3) -> Evidence:
+    """Logistic regression by accelerated gradient steps over statistics and the words present."""
+    centre = x.mean(axis=0) if len(x) else np.zeros(x.shape[1])
+    spread = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(x.shape[1])
+    none = np.zeros(0)
+    if not len(good) or good.min() == good.max():
+        return Evidence(none.astype(np.uint64), none, centre, spread, np.zeros(x.shape[1]), 0.0)
+    share = good.mean()
+    found = np.zeros((len(x), len(words)), np.float32)
+    for i, at in enumerate(present):
+        found[i, at] = 1
+    z = np.column_stack((found, ((x - centre) / spread).astype(np.float32), np.ones(len(x), np.float32)))
     # Both kinds weigh the same, so that rare bad documents count.
     weight = (np.where(good, 0.5 / share, 0.5 / (1 - share)) / len(good)).astype(np.float32)
     rate = np.float32(4 / max(float(np.einsum("ij,ij->i", z, z) @ weight), 1e-9))
@@ -121,8 +140,31 @@ def fit(texts: list[bytes], good: np.ndarray, steps: int = 300, penalty: float =
     return Evidence(words, w[:n].astype(float), centre, spread, w[n:-1].astype(float), base)
 
 
+_X = [f"x{i}" for i in range(len(FEATURES))]
+_MEASURED = f"doc_id long, good boolean, {', '.join(f'{x} double' for x in _X)}, words array<long>"
+
+
+def _measured(sample: DataFrame) -> DataFrame:
+    """doc_id, good, the features and the hashes of the distinct words of labelled texts."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("site_quality")
+        for batch in batches:
+            texts = text_bytes(batch.column("text"))
+            x = features_of(statistics_of(texts))
+            words = pa.array([s.view(np.int64) for s in distinct_words(texts)], pa.list_(pa.int64()))
+            columns = [batch.column("doc_id"), batch.column("good"), *map(pa.array, x.T.copy()), words]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "good", *_X, "words"])
+
+    return sample.select("doc_id", "good", "text").mapInArrow(measure, _MEASURED)
+
+
 def fit_evidence(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Evidence:
-    """Fits on `fit_rows` labelled documents at most; good ones are of quality and not toxic."""
+    """Fits on `fit_rows` labelled documents at most; good ones are of quality and not toxic.
+
+    Texts stay in tasks: what comes to the driver are `MOST_WORDS` words, and for each document
+    its statistics and which of these words it has.
+    """
     chosen = (
         labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -131,8 +173,33 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
         .limit(fit_rows)
     )
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    rows = sorted((r.doc_id, r.text or "", r.good) for r in sample.select("doc_id", "text", "good").toLocalIterator())
-    return fit([r[1].encode("utf-8", "replace") for r in rows], np.array([r[2] for r in rows], bool))
+    measured = stored(_measured(sample), "labelled-words")
+    share = measured.agg(F.avg(F.col("good").cast("double"))).first()[0] or 0.0
+    words = np.zeros(0, np.uint64)
+    if 0 < share < 1:
+        n, in_good = F.col("n").cast("double"), F.col("in_good").cast("double")
+        counts = (
+            measured.select("good", F.explode("words").alias("word"))
+            .groupBy("word")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if("good").alias("in_good"))
+            .where((F.col("n") >= LEAST_DOCUMENTS) & (in_good < n * share))
+            .withColumn("gap", _gap(n, in_good, share))
+            .where(F.col("gap") > LEAST_GAP)
+        )
+        best = counts.orderBy(F.desc("gap"), "word").limit(MOST_WORDS).select("word").collect()
+        words = np.sort(np.array([r.word for r in best], np.int64).view(np.uint64))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("site_quality")
+        for batch in batches:
+            found = [places_of(np.array(s.as_py(), np.int64).view(np.uint64), words) for s in batch.column("words")]
+            columns = [*batch.columns[:-1], pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "present"])
+
+    schema = _MEASURED.replace("words array<long>", "present array<int>")
+    rows = sorted(measured.mapInArrow(place, schema).collect())
+    x = np.array([r[2:-1] for r in rows], float).reshape(-1, len(_X))
+    return _solved(x, [np.array(r.present, int) for r in rows], words, np.array([r.good for r in rows], bool))
 
 
 def scored(docs: DataFrame, evidence: Evidence, host: str, path: str) -> DataFrame:
@@ -147,6 +214,7 @@ def scored(docs: DataFrame, evidence: Evidence, host: str, path: str) -> DataFra
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("site_quality")
         for batch in batches:
             odds = pa.array(evidence.log_odds(text_bytes(batch.column("text"))))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "host", "path")), odds], names=schema.names)

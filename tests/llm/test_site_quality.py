@@ -27,6 +27,41 @@ def test_query_judges_all_documents(spark, small):
     assert all(0 <= r.p_good <= 1 and r.kept == (r.p_good >= 0.5) for r in rows)
 
 
+def test_evidence_from_tables_is_that_of_the_texts(spark, medium):
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
+    labels = spark.read.parquet(f"{medium}/labels.parquet").where("quality IN (0, 1)")
+    rows = sorted(docs.join(labels, "doc_id").select("doc_id", "text", "quality", "toxic").collect())
+    good = np.array([r.quality == 1 and not r.toxic for r in rows])
+    plain = sq.fit([(r.text or "").encode() for r in rows], good)
+    found = sq.fit_evidence(docs, labels)
+    assert found.words.tolist() == plain.words.tolist() and len(plain.words) > 10
+    for a, b in zip(found[1:], plain[1:], strict=True):
+        assert a == pytest.approx(b, rel=1e-3, abs=1e-4)
+
+
+def test_query_equals_plain_lists(spark, small):
+    """The whole query again over lists: texts, evidence, means of hosts and paths, posteriors."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = docs.collect()
+    evidence = sq.fit_evidence(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    odds = evidence.log_odds([(r.text or "").encode() for r in rows])
+    sites = [(r.source, r.lang, 1 / (1 + math.exp(-x))) for r, x in zip(rows, odds, strict=True)]
+    means, all_mean = brute_means(sites), np.mean([p for *_, p in sites])
+
+    def logit(p):
+        p = min(max(p, sq._EDGE), 1 - sq._EDGE)
+        return math.log(p / (1 - p))
+
+    want = {}
+    for r, x in zip(rows, odds, strict=True):
+        host_mean, path_mean = means[r.source, r.lang]
+        p_good = 1 / (1 + math.exp(-(x + logit(path_mean) - logit(all_mean))))
+        want[r.doc_id] = (1 / (1 + math.exp(-x)), host_mean, path_mean, p_good, p_good >= sq.KEEP)
+    for r in LLM_QUERIES["op7_site_quality"](spark, small).collect():
+        assert (r.p_document, r.host_mean, r.path_mean, r.p_good) == pytest.approx(want[r.doc_id][:4], rel=1e-6)
+        assert r.kept == want[r.doc_id][4]
+
+
 def brute_means(rows):
     """host, path -> host and path means, by the same formulas over plain lists."""
 
