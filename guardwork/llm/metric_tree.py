@@ -16,7 +16,9 @@ Ties go to the smaller id.  Defined results: rows without an id, and vectors tha
 or hold null or non-finite components, take no part; only vectors of one dimension are
 compared; rows with the query's own id are no candidates, other repeated rows are candidates
 each; a repeated query row is one query; fewer candidates than k give fewer rows; an empty
-table gives an empty result; other columns are ignored.  Components must stay below 2^24.
+table gives an empty result; other columns are ignored.  Scores are exact whole numbers: as
+long as the longest vector's square is below 2^52 they are summed in doubles, beyond that as
+64-bit whole numbers.  From `LONGEST` on scores would not fit these, and the search is refused.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from guardwork.llm.shared import stored
@@ -42,6 +44,16 @@ PAGE = 512
 FANOUT = 8
 MOST_LEVELS = 60
 _SLACK = 1e-6  # of a distance, for rounding
+_SLACK_LONGEST = 1e-7  # of the longest vector: what differences of large squares lose
+#: Squares of vectors below which scores are exact in doubles, and beyond which none is a long.
+EXACT = 1 << 52
+LONGEST = 1 << 62
+
+
+def _floor(x: Column) -> Column:
+    """Rounded down; what no long holds becomes the largest, which `top_k` refuses."""
+    most = float(1 << 62)
+    return F.floor(F.greatest(F.lit(-most), F.least(F.lit(most), x)))
 
 
 def whole_vectors(rows: DataFrame, scale: int) -> DataFrame:
@@ -50,13 +62,19 @@ def whole_vectors(rows: DataFrame, scale: int) -> DataFrame:
     return (
         rows.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"))
         .where(F.col("id").isNotNull() & F.col("embedding").isNotNull() & usable)
-        .select("id", F.transform("embedding", lambda x: F.floor(x * scale).cast("int")).alias("v"))
+        .select("id", F.transform("embedding", lambda x: _floor(x * scale)).alias("v"))
     )
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column: pa.Array, kind: type = np.float64) -> np.ndarray:
     """The lists of a column, all of one length, as rows."""
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), -1)
+
+
+def _below(score):
+    """A double that no score of at least this one, as a double, is below."""
+    size = F.abs(score) if isinstance(score, Column) else np.abs(score)
+    return score - size * 2.0**-50
 
 
 def _by_dimension(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -72,6 +90,11 @@ class Space:
 
     def __init__(self, longest: float):
         self.longest = longest  # squared length
+        self.in_doubles = longest < EXACT
+        self.least = _SLACK_LONGEST * longest**0.5
+
+    def slack(self, distance: np.ndarray) -> np.ndarray:
+        return _SLACK * (1 + np.abs(distance)) + self.least
 
     def extra(self, x: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(self.longest - (x * x).sum(axis=1), 0.0))
@@ -91,13 +114,13 @@ class Space:
 
     def most_score(self, query_square: np.ndarray, distance: np.ndarray) -> np.ndarray:
         """Of a vector at that distance or farther: the inner product is no larger."""
-        distance = np.maximum(0.0, distance - _SLACK * (1 + np.abs(distance)))
+        distance = np.maximum(0.0, distance - self.slack(distance))
         return (query_square + self.longest - distance * distance) / 2
 
     def reach(self, query_square: np.ndarray, score: np.ndarray) -> np.ndarray:
         """Vectors of that score or more are no farther."""
         distance = np.sqrt(np.maximum(0.0, query_square + self.longest - 2 * score))
-        return distance + _SLACK * (1 + distance)
+        return distance + self.slack(distance)
 
 
 class Node:
@@ -113,8 +136,11 @@ class Node:
 
 
 class MetricTree:
+    """vectors: whole numbers as doubles if scores are exact in these, or else as longs."""
+
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, space: Space):
         self.ids, self.vectors, self.space = ids, vectors, space
+        vectors = vectors.astype(np.float64, copy=False)
         self.points = space.lengthened(vectors)
         self.nodes: list[Node] = []  # by number, the root first
         self.root = self._page(np.arange(len(ids)), self.points[0], 0.0)
@@ -141,7 +167,7 @@ class MetricTree:
         nearest = self.space.distances(self.points[rows], self.points[chosen])[:, 0]
         while len(chosen) < FANOUT:
             at = int(nearest.argmax())
-            if nearest[at] <= 1e-6:
+            if nearest[at] <= self.space.slack(np.zeros(1))[0]:
                 break
             chosen.append(int(rows[at]))
             nearest = np.minimum(nearest, self.space.distances(self.points[rows], self.points[chosen[-1:]])[:, 0])
@@ -154,15 +180,16 @@ class MetricTree:
         on until none promises more than the k-th score that it has found.  Queries that open
         the same node are answered together.
         """
-        squares = (queries * queries).sum(axis=1)
-        points = self.space.query(queries)
+        numbers = queries.astype(np.float64, copy=False)
+        squares = (numbers * numbers).sum(axis=1)
+        points = self.space.query(numbers)
         bounds = bounds.copy()
         # For each query and node the most that it promises (-inf: not in the frontier) and the
         # query's distance to its centre.
         most, away = np.full((len(queries), len(self.nodes)), -np.inf), np.zeros((len(queries), len(self.nodes)))
         away[:, 0] = self.space.distances(points, self.root.centre[None, :])[:, 0]
         most[:, 0] = self.space.most_score(squares, away[:, 0] - self.root.radius)
-        who, ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        who, ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, queries.dtype)
         waiting = np.arange(len(queries))
         while len(waiting):
             best = most[waiting].argmax(axis=1)
@@ -183,7 +210,7 @@ class MetricTree:
             who, ids, scores = who[order], ids[order], scores[order]
             rank = np.arange(len(who)) - np.searchsorted(who, who)
             full = who[rank == k - 1]
-            bounds[full] = np.maximum(bounds[full], scores[rank == k - 1])
+            bounds[full] = np.maximum(bounds[full], _below(scores[rank == k - 1].astype(np.float64)))
             who, ids, scores = who[rank < k], ids[rank < k], scores[rank < k]
         return who, ids, scores
 
@@ -218,7 +245,7 @@ class MetricTree:
             yield some[q], self.ids[rows[e]], score[q, e]
 
 
-_ENTRY = "shard long, copy long, is_query int, id long, v array<int>, bound double"
+_ENTRY = "shard long, copy long, is_query int, id long, v array<long>, bound double"
 _HIT = "query_id long, id long, score long"
 
 
@@ -240,6 +267,7 @@ def _searched(shards: DataFrame, routed: DataFrame, k: int, longest: float) -> D
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, tree, held, at = Space(longest), None, [], None
+        kind = np.float64 if space.in_doubles else np.int64
         for batch in batches:
             columns = [batch.column(c).to_numpy() for c in ("shard", "copy", "is_query")]
             new = np.zeros(batch.num_rows + 1, bool)
@@ -251,7 +279,7 @@ def _searched(shards: DataFrame, routed: DataFrame, k: int, longest: float) -> D
             for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 shard, copy, is_query = (column[low] for column in columns)
                 part = batch.slice(low, high - low)
-                ids, vectors = part.column("id").to_numpy(), _matrix(part.column("v"))
+                ids, vectors = part.column("id").to_numpy(), _matrix(part.column("v"), kind)
                 if (shard, copy) != at:
                     at, tree, held = (shard, copy), None, []
                 if not is_query:
@@ -289,7 +317,7 @@ def _celled(vectors: DataFrame, pivots: dict[int, np.ndarray], space: Space) ->
                 [*batch.columns, pa.array(cell), pa.array(away)], names=[*batch.schema.names, "cell", "away"]
             )
 
-    return vectors.mapInArrow(deal, "id long, v array<int>, cell long, away double")
+    return vectors.mapInArrow(deal, "id long, v array<long>, cell long, away double")
 
 
 def _pivot_numbers(pivots: dict[int, np.ndarray]) -> dict[int, int]:
@@ -318,7 +346,7 @@ def _routed(queries: DataFrame, directory: list[tuple[int, int, float]], pivots:
                     continue
                 mine = np.flatnonzero((cells >= numbers[at]) & (cells < numbers[at] + len(pivots[at])))
                 distance = space.distances(space.query(q), space.lengthened(pivots[at]))[:, cells[mine] - numbers[at]]
-                least = np.maximum(distance - radius[mine] - _SLACK * (1 + distance), 0.0)
+                least = np.maximum(distance - radius[mine] - space.slack(distance), 0.0)
                 most = ((q * q).sum(axis=1)[:, None] + space.longest - least * least) / 2
                 best = most.argmax(axis=1)
                 if first:
@@ -337,7 +365,7 @@ def _routed(queries: DataFrame, directory: list[tuple[int, int, float]], pivots:
                         names=["shard", "id", "v", "bound"],
                     )
 
-    return queries.select("id", "v", "bound").mapInArrow(route, "shard long, id long, v array<int>, bound double")
+    return queries.select("id", "v", "bound").mapInArrow(route, "shard long, id long, v array<long>, bound double")
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int, scale: int) -> DataFrame:
@@ -347,9 +375,12 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, scale: int) -> DataFrame:
     """
     vectors = stored(whole_vectors(rows, scale), "vectors")
     asked = whole_vectors(queries, scale).dropDuplicates(["id", "v"])
-    square = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x.cast("long") * x)
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     n, longest = vectors.agg(F.count(F.lit(1)), F.max(square)).first()
-    space = Space(float(longest or 0))
+    asked_longest = asked.agg(F.max(square)).first()[0]
+    if max(longest or 0, asked_longest or 0) >= LONGEST:
+        raise ValueError("scores need vectors whose square, after scaling, is below 2^62")
+    space = Space(float(max(longest or 0, asked_longest or 0)))
 
     wanted = max(1, min(MOST_PIVOTS, round(n**0.5 / 8)))
     pivots: dict[int, np.ndarray] = {}
@@ -370,7 +401,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, scale: int) -> DataFrame:
     start = asked.withColumn("bound", F.lit(float("-inf")))
     near = stored(_searched(shards, _routed(start, directory, pivots, space, first=True), k, space.longest), "hits")
     bounds = near.groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("bound"), F.count(F.lit(1)).alias("hits")
+        F.when(F.count(F.lit(1)) >= k, _below(F.min("score").cast("double"))).alias("bound"), F.count(F.lit(1)).alias("hits")
     )
     bounded = (
         asked.join(bounds.withColumnRenamed("query_id", "id"), "id", "left")

@@ -121,3 +121,23 @@ def test_query_equals_brute_force_and_sql(spark, small):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{small}/embeddings.parquet')")
     assert sorted(con.execute(LLM_ORACLE_SQL["op8_metric_tree"]).fetchall()) == got
+
+
+@pytest.mark.parametrize(("dimensions", "most"), [(64, 1 << 24), (64, (1 << 28) - 1), (3, 1 << 30), (1, (1 << 31) - 1)])
+def test_large_components_are_scored_exactly(llm, dimensions, most):
+    """Near the largest whole numbers; many scores differ in their last digits only."""
+    rng = np.random.default_rng(most % 1000)
+    rows = []
+    for i in range(120):
+        whole = np.where(rng.random(dimensions) < 0.5, -1, 1) * (most - rng.integers(0, 3, dimensions))
+        rows.append((i, (np.abs(whole) if i % 2 else whole).astype(float).tolist(), 0))
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(map(tuple, mt.top_k(df, df.where("vec_id % 20 = 0"), 20, 1).collect()))
+    assert got == expected(df.collect(), 20, scale=1)
+
+
+@pytest.mark.parametrize("component", [1e9, 1e300, -1e300])
+def test_vectors_whose_scores_are_no_longs_are_refused(llm, component):
+    df = llm.createDataFrame([(0, [1.0, 2.0]), (1, [component, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="2\\^62"):
+        mt.top_k(df, df, 20, 64)
