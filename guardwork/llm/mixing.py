@@ -6,8 +6,10 @@ source's target.  The mix takes documents by finish time over all sources until
 budget is used up, so every source stops near its target.
 
 No source is gathered in one task: running sums are formed within slices of the shuffled
-order and joined by the slices' totals; the end of the mix is found by the totals of ranges
-of finish times, and only the range that holds the end is looked at row by row.
+order and joined by the slices' totals.  The copies are then sorted by finish time over all
+partitions; the partitions' totals tell which one holds the end, and a running sum within it
+where.  Ties are divided too, as the sort's key is unique.  Targets are worked out from a
+row for each source in one task, so there may be `MOST_SOURCES` of them.
 
 Defined results: a null text has no words and a null source is the last one; documents
 without words are in the queue and take nothing; rows equal in id, source and size are
@@ -31,8 +33,7 @@ WEIGHTS = (1, 2, 3)
 #: Rows that a slice of the shuffled order holds on average.
 SLICE_ROWS = 64
 MOST_SLICE_BITS = 20
-#: Ranges of finish times on each stretch of length 1.
-RANGES = 1024
+MOST_SOURCES = 1_000_000
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -141,17 +142,18 @@ def copies_in_queue(queue: DataFrame) -> DataFrame:
 _ORDER = ("finish", "source", "epoch", "place", "doc_id", "size")
 
 
-def mix_end(queue: DataFrame):
-    """The last copy that the mix takes, as a row of the columns that order the mix; None if none.
+def sorted_copies(queue: DataFrame) -> DataFrame:
+    """All copies, range-sorted over the partitions, with the number of their partition."""
+    parts = int(queue.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = copies_in_queue(queue).select(*_ORDER, "words")
+    ordered = copies.repartitionByRange(parts, *_ORDER).sortWithinPartitions(*_ORDER)
+    return stored(ordered.withColumn("part", F.spark_partition_id()), "mix-order")
 
-    Ranges of finish times are summed up first (their number is fixed).  The running total
-    within the range that holds the end tells the end.
-    """
-    last_range = (MOST_EPOCHS + 1) * RANGES
-    copies = copies_in_queue(queue).withColumn(
-        "range", F.least(F.floor(F.col("finish") * RANGES), F.lit(last_range)).cast("int")
-    )
-    totals = dict(copies.groupBy("range").agg(F.sum("words")).collect())  # a row for each range at most
+
+def mix_end(queue: DataFrame):
+    """The last copy that the mix takes, as a row of the columns that order the mix; None if all."""
+    copies = sorted_copies(queue)
+    totals = dict(copies.groupBy("part").agg(F.sum("words")).collect())  # a row for each partition
     budget = queue.agg(F.sum(F.col("size") * F.col("n"))).first()[0] or 0
     total = 0
     for at in sorted(totals):
@@ -160,18 +162,30 @@ def mix_end(queue: DataFrame):
         total += totals[at]
     else:
         return None  # everything fits
-    running = F.sum("words").over(Window.partitionBy("range").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0))
-    taken = copies.where(F.col("range") == at).withColumn("running", running).where(F.col("running") <= budget - total)
-    end = taken.orderBy(*(F.col(c).desc() for c in _ORDER)).select(*_ORDER).first()
-    return end if end is not None else (at / RANGES, None, -1, 0, None, 0)
+    running = F.sum("words").over(Window.partitionBy("part").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0))
+    inside = copies.where(F.col("part") == at).withColumn("running", running).where(F.col("running") <= budget - total)
+    # If the partition's first copy is too large already, the end is the last one before it.
+    for rows in (inside, copies.where(F.col("part") < at)):
+        end = rows.orderBy(*(F.col(c).desc() for c in _ORDER)).select(*_ORDER).first()
+        if end is not None:
+            return end
+    return (-1.0, None, -1, 0, None, 0)  # before all copies
+
+
+def mix_queue(docs: DataFrame, seed: int) -> DataFrame:
+    """The queue of all sources, written down: equal rows are one, n times."""
+    items = stored(
+        sized(docs).groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-items"
+    )
+    rows, sources = items.agg(F.count(F.lit(1)), F.approx_count_distinct("source")).first()
+    if sources > MOST_SOURCES:
+        raise ValueError(f"about {sources} sources; {MOST_SOURCES} at most can be mixed")
+    return stored(queued(items, rows, seed), "mix-queue")
 
 
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken."""
-    items = stored(
-        sized(docs).groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-items"
-    )
-    queue = stored(queued(items, items.count(), seed), "mix-queue")
+    queue = mix_queue(docs, seed)
     return _expanded(_taken(queue, mix_end(queue)))
 
 
@@ -212,10 +226,7 @@ def _expanded(taken: DataFrame) -> DataFrame:
 
 def mix_order(docs: DataFrame, seed: int = 7) -> DataFrame:
     """The mix itself, sorted over all partitions: doc_id, source, size, epoch, finish."""
-    items = stored(
-        sized(docs).groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-items"
-    )
-    queue = stored(queued(items, items.count(), seed), "mix-queue")
+    queue = mix_queue(docs, seed)
     taken = _taken(queue, mix_end(queue))
     return (
         copies_in_queue(taken)
@@ -228,10 +239,7 @@ def mix_order(docs: DataFrame, seed: int = 7) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
     """The documents of the mix with all their columns, each as often as the mix takes it."""
-    items = stored(
-        sized(docs).groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-items"
-    )
-    queue = stored(queued(items, items.count(), seed), "mix-queue")
+    queue = mix_queue(docs, seed)
     taken = _taken(queue, mix_end(queue)).where("copies > 0")
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     d, t = docs.alias("d"), taken.select("doc_id", "source", "size", "copies").alias("t")

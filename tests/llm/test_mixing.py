@@ -99,3 +99,55 @@ def test_documents_are_repeated_as_often_as_taken(documents):
 def test_empty_table_and_no_words(documents):
     assert mixing.mix(documents()).collect() == []
     assert [r.taken for r in mixing.mix(documents(["", None])).collect()] == [0, 0]
+
+
+def plain_mix(rows, targets):
+    """Copies of each document: the source whose next copy finishes first is served, till the budget is used up.
+
+    rows: (place, doc_id, source, size, n) as the queue has them; targets by source.
+    """
+    queues = {}
+    for place, doc_id, source, size, n in sorted(rows, key=lambda r: (r[0] % 2**64, r[1], r[3])):
+        queues.setdefault(source, []).append((place, doc_id, size, n))
+    sizes = {s: sum(size * n for *_, size, n in q) for s, q in queues.items()}
+    heads = {s: [0, 0, 0] for s in queues}  # epoch, place in the queue, words before
+    copies, used, budget = {}, 0, sum(sizes.values())
+    while True:
+        best = None
+        for source, (epoch, at, before) in heads.items():
+            if epoch < mixing.MOST_EPOCHS:
+                place, doc_id, size, n = queues[source][at]
+                finish = (epoch * sizes[source] + before + size * n) / targets[source] if targets[source] else 0.0
+                key = (finish, source, epoch, place, doc_id, size)
+                if best is None or key < best[0]:
+                    best = key, size * n
+        if best is None or used + best[1] > budget:
+            return copies
+        (_, source, epoch, _, doc_id, size), words = best
+        used += words
+        copies[doc_id, source, size] = copies.get((doc_id, source, size), 0) + 1
+        head = heads[source]
+        head[1] += 1
+        head[2] += words
+        if head[1] == len(queues[source]):
+            heads[source] = [epoch + 1, 0, 0]
+
+
+@pytest.mark.parametrize("parts", ["8", "3"])
+def test_taken_is_that_of_a_plain_queue(spark, small, parts):
+    docs = spark.read.parquet(f"{small}/documents.parquet").where("source IS NOT NULL AND doc_id IS NOT NULL")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        queue = mixing.mix_queue(docs, 7).collect()
+        found = {(r.doc_id, r.source, r["size"]): r.copies for r in mixing.mix(docs).collect() if r.copies}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    rows = [(r.place, r.doc_id, r.source, r["size"], r.n) for r in queue]
+    assert found == plain_mix(rows, {r.source: r.target for r in queue})
+
+
+def test_too_many_sources_are_refused(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
+    with pytest.raises(ValueError, match="sources"):
+        mixing.mix(documents(["a", "b", "c", "d"]))
