@@ -25,7 +25,6 @@ import base64
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from guardwork.llm.worker_memory import remembered
 from guardwork.llm.words import text_bytes
 
-#: States, and words, that a worker remembers.  Beyond that, steps and words are worked out
-#: each time, with the same results.
-MOST_STATES = 40_000
+#: States, pieces of texts, and words with a space in front that a worker remembers.  Beyond that,
+#: pieces are worked out each time, by the guesses themselves where a state is missing, with the
+#: same results.  Once that happened `MOST_MISSED` times, all states give way: those that are
+#: still used come back first.
+MOST_STATES = 20_000
+MOST_MISSED = 200_000
+MOST_PIECES = 300_000
+MOST_AGREED = 200_000
 MOST_WORDS = 300_000
 LONGEST_REMEMBERED = 48
 
@@ -124,6 +129,11 @@ class Transducer:
             self.token[node] = rank
         self.merges = Merges(ranks)
         self.agreed: dict[int, bool] = {}  # by last * 2^24 + token
+        self.forget()
+
+    def forget(self) -> None:
+        """Back to the first state."""
+        self.missed = 0
         self.ids: dict[tuple, int] = {}
         self.guesses: list[tuple] = []
         self.steps: dict[int, tuple[tuple[int, ...], int]] = {}  # by state * 256 + byte
@@ -145,7 +155,7 @@ class Transducer:
             known = self.merges.reached(right) and (
                 last < 0 or self.merges.stay_apart(self.spelling[last], right)
             )
-            if len(self.agreed) < 8 * MOST_STATES:
+            if len(self.agreed) < MOST_AGREED:
                 self.agreed[last << 24 | token] = known
         return known
 
@@ -196,11 +206,14 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
+        if self.missed >= MOST_MISSED:
+            self.forget()
         out: list[int] = []
         state, steps = 0, self.steps
         for i, byte in enumerate(piece):
             found = steps.get(state << 8 | byte) or self.step(state, byte)
             if found is UNDETERMINED:
+                self.missed += 1
                 return out + self.undetermined(self.guesses[state], piece[i:])
             tokens, state = found
             if tokens:
@@ -249,7 +262,7 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         ids = array("i", self.transducer.encode(piece.encode())).tobytes()
-        if len(piece) <= LONGEST_REMEMBERED and len(self) < MOST_WORDS:
+        if len(piece) <= LONGEST_REMEMBERED and len(self) < MOST_PIECES:
             self[piece] = ids
         return ids
 
@@ -343,7 +356,7 @@ SPLITS_AT_SPACES = (
 _SPACE_BEFORE_SPACE = re.compile(r" (?:\s|$)")
 
 
-@lru_cache(maxsize=2)
+@remembered("byte_bpe")
 def worker_encoder(path: str, pattern: str):
     """Of this Python worker: text to an array of ids, as bytes."""
     compiled = regex.compile(pattern)
@@ -367,7 +380,7 @@ def worker_encoder(path: str, pattern: str):
     return encode_words
 
 
-@lru_cache(maxsize=2)
+@remembered("byte_bpe")
 def worker_decoder(path: str) -> Decoder:
     return Decoder(read_ranks(path))
 

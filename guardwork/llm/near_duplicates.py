@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from guardwork.llm.grouping import runs_of_groups
 from guardwork.llm.shared import stored
+from guardwork.llm.worker_memory import at_work
 from guardwork.llm.words import blocks, mixed, text_bytes, window_hashes, word_hashes, words_of
 
 CHUNKS = 10
@@ -45,6 +46,8 @@ PERCENT = 80
 MOST_ERRORS = 29
 #: Classes of a tile; two tiles meet in a task.
 TILE = 1024
+#: Pairs of a star that a task compares with its centre, about.
+STAR = 512
 _SMALL = 64  # groups handed to Python together
 
 _random = np.random.default_rng(30)
@@ -107,6 +110,7 @@ def _signed(docs: DataFrame, size: int, more: tuple[str, ...] = ()) -> DataFrame
     schema = ", ".join((_SIGNED, *(f"{c} long" for c in more)))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("near_duplicates")
         for batch in batches:
             n = batch.num_rows
             counts, names = np.zeros(n, np.int64), np.zeros((2, n), np.uint64)
@@ -132,6 +136,7 @@ def _keyed(classes: DataFrame) -> DataFrame:
     """key and node of each entry in the indexes."""
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("near_duplicates")
         for batch in batches:
             if batch.num_rows:
                 symbols = _symbols(batch.column("signature"))
@@ -150,6 +155,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """node and its full set, for the nodes alone."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("near_duplicates")
         for batch in batches:
             ids = batch.column("doc_id")
             for first, values, starts in shingle_sets(text_bytes(batch.column("text")), size):
@@ -176,18 +182,31 @@ def _could_be(n: F.Column, m: F.Column) -> F.Column:
     return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links."""
+def _confirmed(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of stars that are links; part divides the pairs of a.
+
+    The set of a is sent once for each part, and the sets of its pairs follow it.
+    """
+    centres = stars.select("a", "part").distinct().select("a", "part", F.col("a").alias("node"))
+    rows = stars.select("a", "part", F.col("b").alias("node")).unionByName(centres).join(sets, "node")
+    first = F.col("node") != F.col("a")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("near_duplicates")
+        centre = np.zeros(0, np.uint64)
         for batch in batches:
-            pairs = zip(batch.column("set_a"), batch.column("set_b"), strict=True)
-            linked = [similar(*(np.frombuffer(s.as_buffer(), np.uint64) for s in pair)) for pair in pairs]
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            linked = []
+            columns = (batch.column("a").to_pylist(), batch.column("node").to_pylist(), batch.column("members"))
+            for a, node, members in zip(*columns, strict=True):
+                found = np.frombuffer(members.as_buffer(), np.uint64)
+                if a == node:
+                    centre = found
+                linked.append(a != node and similar(centre, found))
+            chosen = batch.select(["a", "node"]).filter(pa.array(linked, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(chosen.columns, names=["a", "b"])
 
-    of_a = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
-    of_b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
-    return pairs.join(of_a, "a").join(of_b, "b").mapInArrow(compare, "a long, b long")
+    ordered = rows.repartition("a", "part").sortWithinPartitions("a", "part", first)
+    return ordered.select("a", "node", "members").mapInArrow(compare, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -239,21 +258,25 @@ def _open_tiles(entries: DataFrame, labels: DataFrame, classes: DataFrame) -> Da
     component, as a rule most of a group of copies, fills the first tiles of a key; they meet
     the tiles of the others but not each other.
     """
-    rest = _labelled(entries.where("node <> leader"), labels)
-    leaders = _labelled(entries.select("leader").distinct(), labels, "leader")
-    rest = rest.join(leaders.withColumnRenamed("component", "main"), "leader").drop("leader")
-    is_main = F.col("component") == F.col("main")
+    labelled = _labelled(entries, labels).withColumn("leads", F.col("node") == F.col("leader")).drop("leader")
+    of_component = labelled.groupBy("key", "component").agg(
+        F.count(F.when(~F.col("leads"), 1)).alias("n_nodes"), F.max("leads").alias("is_main")
+    )
     open_keys = (
-        rest.groupBy("key")
+        of_component.groupBy("key")
         .agg(
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-            F.ceil(F.count(F.when(is_main, 1)) / TILE).cast("int").alias("mains"),
-            F.ceil(F.count(F.when(~is_main, 1)) / TILE).cast("int").alias("others"),
+            F.max(F.when(F.col("is_main"), F.col("component"))).alias("main"),
+            F.count_if(F.col("n_nodes") > 0).alias("components"),
+            *(
+                F.ceil(F.coalesce(F.sum(F.when(which, F.col("n_nodes"))), F.lit(0)) / TILE).cast("int").alias(name)
+                for name, which in (("mains", F.col("is_main")), ("others", ~F.col("is_main")))
+            ),
         )
-        .where("least <> most")
-        .select("key", "mains", "others")
+        .where("components > 1")
+        .select("key", "main", "mains", "others")
     )
+    rest = labelled.where("NOT leads").drop("leads")
+    is_main = F.col("component") == F.col("main")
     within = F.when(is_main, F.col("mains")).otherwise(F.col("others"))
     first = F.when(is_main, F.lit(0)).otherwise(F.col("mains"))
     meets_from = F.when(is_main, F.col("mains")).otherwise(F.lit(0))
@@ -310,6 +333,7 @@ def _worth_comparing(tiles: DataFrame) -> DataFrame:
     """The rows of tiles that have a pair to compare."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("near_duplicates")
         for group in _each_group(batches):
             chosen = np.unique(pairs_to_compare(group))
             if len(chosen):
@@ -326,6 +350,7 @@ def _links_in_tiles(tiles: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between components, as few for each tile pair as join them."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("near_duplicates")
         for group in _each_group(batches):
             component = group.column("component").to_pylist()
             sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in group.column("members")]
@@ -370,16 +395,16 @@ def _grouped(docs: DataFrame, size: int, more: tuple[str, ...] = ()) -> DataFram
     sets = stored(_sets(docs, entries.select("node").distinct(), size), "sets")
 
     sizes = classes.select("node", "n")
-    star = (
-        entries.where("node <> leader")
-        .select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        .distinct()
-        .join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
+    pairs = entries.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    parts = F.ceil(F.count(F.lit(1)) / STAR).alias("parts")
+    centres = pairs.groupBy("a").agg(parts).join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
+    stars = (
+        pairs.join(centres, "a")
         .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
         .where(_could_be(F.col("n_a"), F.col("n_b")))
-        .select("a", "b")
+        .select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
     )
-    labels = components(_confirmed(star, sets))
+    labels = components(_confirmed(stored(stars, "stars"), sets))
 
     tiles = stored(_worth_comparing(_open_tiles(entries, labels, classes)), "tiles")
     if not tiles.isEmpty():

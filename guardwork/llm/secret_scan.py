@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from guardwork.llm.worker_memory import at_work
+
 # The base kinds in the order of the list, and their forms.
 KINDS = ("assign", "access", "hex", "entropy")
 _ASSIGN = re.compile(
@@ -194,6 +196,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     arrow_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("secret_scan")
         for batch in batches:
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for row, text in _suspects(batch.column("text")):
@@ -227,6 +230,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     """The documents with their secrets replaced; n_chars, where there is one, follows the text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("secret_scan")
         for batch in batches:
             names = batch.schema.names
             at = names.index("text")

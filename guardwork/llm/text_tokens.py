@@ -12,12 +12,12 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import tiktoken
 
 from guardwork.llm.word_pieces import byte_letters
+from guardwork.llm.worker_memory import remembered
 
 PLAIN_END = 0x250
 #: Long texts are encoded in stretches, cut in front of a single space between visible letters,
@@ -148,11 +148,11 @@ class PieceTokens(_Tokens):
         return self.library.encode(text[1:], num_threads=1)
 
 
-@lru_cache(maxsize=1)
+@remembered("text_tokens")
 def worker_byte_tokens(path: str, pattern: str) -> ByteTokens:
     return ByteTokens(path, pattern)
 
 
-@lru_cache(maxsize=1)
+@remembered("text_tokens")
 def worker_piece_tokens(path: str) -> PieceTokens:
     return PieceTokens(path)

@@ -20,12 +20,13 @@ import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import count
 
 import numpy as np
 import tiktoken
 
+from guardwork.llm.worker_memory import remembered
+
 #: Texts are read in stretches of so many characters, cut at spaces, and distinct words are
 #: looked for in blocks of so many.
 STRETCH = 1 << 18
@@ -234,6 +235,6 @@ def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
             first, size = i + 1, 0
 
 
-@lru_cache(maxsize=1)
+@remembered("word_pieces")
 def worker_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
