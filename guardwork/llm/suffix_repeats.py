@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from guardwork.llm.grouping import runs_of_groups
 from guardwork.llm.shared import stored
+from guardwork.llm.worker_memory import at_work
 from guardwork.llm.words import BLOCK_BYTES, mixed, powers, prefix_hashes, range_hashes
 
 #: Different runs of an anchor that are sorted in one task.
@@ -44,8 +45,9 @@ MOST_RUNS = 512
 #: Anchor lengths for strings of `length` bytes, as parts of it; each deals out what the one before left.
 ANCHORS = (0.32, 0.96, 1.0)
 #: Starts of strings that are looked at together.
-_PIECE = 1 << 22
+_PIECE = 1 << 20
 _SORT_BYTES = 1 << 21
+_PART_ROWS = 512
 _SORT_RUNS = 512  # of successive anchors, sorted together
 _PLACE_BITS = 24
 
@@ -122,6 +124,13 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows: lists of runs are many times larger as Python's objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _PART_ROWS):
+            yield batch.slice(start, _PART_ROWS)
+
+
 _RUN = "key_a long, key_b long, start int, starts int, at int, anchor long, content long"
 
 
@@ -129,6 +138,7 @@ def _runs(units: DataFrame, length: int, anchor: int) -> DataFrame:
     """The runs of all units (key_a, key_b, text)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("suffix_repeats")
         for batch in batches:
             for index, begins, data, starts, lengths in _blocks(_bytes(batch.column("text")), length):
                 runs = Runs(data, starts, lengths, length, anchor)
@@ -167,7 +177,8 @@ def _with_bytes(units: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     schema = "anchor long, content long, copies long, at int, starts int, bytes binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        at_work("suffix_repeats")
+        for batch in _parts(batches):
             rows: list[tuple] = []
             size = 0
             for text, runs in zip(_bytes(batch.column("text")), batch.column("runs").to_pylist(), strict=True):
@@ -336,6 +347,7 @@ def _sorted_runs(cut: DataFrame, length: int) -> DataFrame:
     """Stretches low..high-1 of repeated starts in runs that occur once, a row for each run."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("suffix_repeats")
         for whole, _ in runs_of_groups(batches, ["anchor"], _SORT_RUNS):
             anchors, content, copies = (whole.column(c).to_numpy() for c in ("anchor", "content", "copies"))
             starts, at = (whole.column(c).to_numpy().astype(np.int64) for c in ("starts", "at"))
@@ -377,7 +389,8 @@ def repeated(units: DataFrame, length: int, level: int = 0) -> DataFrame:
     """
     anchor = max(1, min(length, round(length * ANCHORS[level])))
     runs = stored(_runs(units, length, anchor), "runs")
-    twice = runs.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written, so that the join is of two shuffles, of which a hot anchor's can be split.
+    twice = stored(runs.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors-met")
     runs = stored(runs.join(twice, "anchor", "left_semi").select(*runs.columns), "runs-met")
     by_run = ["anchor", "content"]
     firsts = [F.first(c).alias(c) for c in ("key_a", "key_b", "start", "starts", "at")]
@@ -431,7 +444,8 @@ def remove_repeats(docs: DataFrame, length: int) -> DataFrame:
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        at_work("suffix_repeats")
+        for batch in _parts(batches):
             texts, removed, kept = _bytes(batch.column("text")), [], []
             for text, stretches in zip(texts, batch.column("stretches").to_pylist(), strict=True):
                 spans = merged_spans([(s["low"], s["high"]) for s in stretches or ()], length)
@@ -446,11 +460,13 @@ def remove_repeats(docs: DataFrame, length: int) -> DataFrame:
 
 
 def repeats_report(docs: DataFrame, length: int) -> DataFrame:
-    """Sizes and digest of what stays, per document."""
+    """Sizes and digest of what stays, per document, and that text (a letter cut in two is U+FFFD)."""
     return remove_repeats(docs, length).select(
         "doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.length("kept").cast("long").alias("n_kept"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
