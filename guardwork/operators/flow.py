@@ -24,7 +24,7 @@ from guardwork import fixed
 from guardwork.functions.text import ci
 from guardwork.operators.guard import DEFAULT_GUARD, Guard
 from guardwork.operators.requests import NAME_KEY, named_jobs, named_requests
-from guardwork.plans.joins import join_bounded, join_steps, lookup, only_matching
+from guardwork.plans.joins import join_bounded, join_steps, lookup, only_matching, sized_by_rows
 from guardwork.schemas import (
     CARRIED_STEP_COLUMNS,
     HISTORY_STEP_COLUMNS,
@@ -185,7 +185,7 @@ def _with_job_facts(
         )
     )
     own_steps = only_matching(steps, known, JOB_KEY, bound=requests)
-    facts = known.join(step_facts(own_steps, guard), JOB_KEY, "left")
+    facts = known.join(sized_by_rows(step_facts(own_steps, guard), JOB_KEY), JOB_KEY, "left")
     return asked.join(facts, NAME_KEY, "left")
 
 

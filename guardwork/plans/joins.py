@@ -67,6 +67,22 @@ def fits_broadcast(bound: DataFrame) -> bool:
     return rows is not None and rows <= max(1, limit // row_bytes(bound))
 
 
+def sized_by_rows(table: DataFrame, on: Sequence[str], times: int = 1) -> DataFrame:
+    """The side of a join that is not known to be small, kept from a broadcast by file size.
+
+    The planner broadcasts what is small as compressed files, without regard to its rows in memory
+    or to how often a generator repeats them (``times``).  If the files, read for their keys at
+    least, promise a broadcast that the rows may be too many for, a merge join is asked for.  All
+    else is left to the planner: it takes joins for far larger than they are, and adaptive
+    execution counts real bytes.
+    """
+    limit = broadcast_limit(table)
+    if limit <= 0 or estimated_bytes(table.select(*on)) > limit:
+        return table
+    rows = most_rows(table)
+    return table if rows is None or rows * times <= limit // row_bytes(table) else table.hint("merge")
+
+
 def lookup(
     rows: DataFrame,
     table: DataFrame,
@@ -91,9 +107,8 @@ def lookup(
     salted_rows = rows.withColumn(
         "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(SALTS)).cast("int")
     )
-    salted_table = table.withColumn(
-        "_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    )
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
+    salted_table = sized_by_rows(table, on, SALTS).withColumn("_salt", salts)
     return salted_rows.join(salted_table, [*on, "_salt"], how).drop("_salt")
 
 
@@ -174,7 +189,7 @@ def join_bounded(
 
     ``per_key`` must hold no more rows than ``bound``; it is broadcast if that is small.
     """
-    side = F.broadcast(per_key) if fits_broadcast(bound) else per_key
+    side = F.broadcast(per_key) if fits_broadcast(bound) else sized_by_rows(per_key, on)
     return rows.join(side, list(on), how)
 
 
@@ -192,7 +207,7 @@ def join_steps(
     if fits_broadcast(bound):
         return steps.join(F.broadcast(per_job.drop("max_step_id")), keys, how)
     last_range = F.expr(f"(max_step_id - 1) div {STEPS_PER_RANGE}")
-    ranged_jobs = per_job.withColumn(
+    ranged_jobs = sized_by_rows(per_job, keys).withColumn(
         "_range", F.explode(F.sequence(F.lit(0).cast("bigint"), last_range.cast("bigint")))
     ).drop("max_step_id")
     ranged_steps = steps.withColumn(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# Beyond so many files their footers are not read.
+# Beyond so many files their footers are not read; the rows are bounded by a number without use.
 MOST_FILES = 64
+UNCOUNTED = 1 << 62
 # Operators that give a row for each row of their input at most.
 _NOT_MORE = {
     "Aggregate",
@@ -62,8 +63,10 @@ def _footer_rows(df: DataFrame, relation) -> int | None:
     if relation.getClass().getSimpleName() != "HadoopFsRelation":
         return None
     files = relation.location().inputFiles()
-    if relation.fileFormat().toString() != "Parquet" or len(files) > MOST_FILES:
+    if relation.fileFormat().toString() != "Parquet":
         return None
+    if len(files) > MOST_FILES:
+        return UNCOUNTED
     jvm = df.sparkSession._jvm
     conf = df.sparkSession._jsc.hadoopConfiguration()
     total = 0

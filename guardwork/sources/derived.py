@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from guardwork import fixed
-from guardwork.plans.joins import lookup
+from guardwork.plans.joins import lookup, sized_by_rows
 
 # Columns that put the lines of an order into their order.
 LINE_ORDER = [
@@ -58,7 +58,7 @@ def number_lines(lines: DataFrame, per_order: DataFrame) -> DataFrame:
             F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"),
             F.sum("_lines").over(Window.partitionBy("l_orderkey")).cast("int").alias("n"),
         )
-        .join(per_order, "l_orderkey")
+        .join(sized_by_rows(per_order, ["l_orderkey"]), "l_orderkey")
     )
     within = Window.partitionBy(*key).orderBy(*LINE_ORDER[1:])
     return (

@@ -197,3 +197,33 @@ def test_rows_are_bounded_by_metadata(spark, stored):
     assert most_rows(stored.requests.join(stored.run_config, "server_id")) is None
     assert most_rows(stored.requests.selectExpr("explode(array(1, 2))")) is None
     assert most_rows(spark.range(7).toDF("x")) == 7
+
+
+def test_no_join_broadcasts_many_rows_for_their_small_files(spark, tmp_path):
+    """Nor does it if the files are too many to look into."""
+    from guardwork.plans import joins
+    from guardwork.plans.rows import MOST_FILES
+    from guardwork.sources.derived import LINE_ORDER, number_lines
+
+    many = spark.range(1_000_000, numPartitions=1).selectExpr(
+        "id % 5 AS server_id", "id div 100000 AS job_id", "1 AS step_id", "7 AS max_step_id"
+    )
+    many.write.parquet(str(tmp_path / "many"))
+    stored = spark.read.parquet(str(tmp_path / "many"))
+    many.limit(200).repartition(MOST_FILES + 1).write.parquet(str(tmp_path / "files"))
+    files = spark.read.parquet(str(tmp_path / "files"))
+    key = ["server_id", "job_id"]
+    assert joins.estimated_bytes(stored) < 10 << 20
+    rows = spark.range(10).selectExpr("id AS server_id", "id AS job_id", "1 AS step_id")
+    lines = rows.selectExpr("job_id AS l_orderkey", *[f"1 AS {c}" for c in LINE_ORDER])
+    orders = stored.selectExpr("server_id", "job_id AS l_orderkey")
+    for joined in (
+        joins.lookup(rows, stored, key, ["step_id"], bound=stored),
+        joins.lookup(rows, stored.select(*key), key, ["step_id"], "left_semi"),
+        joins.lookup(rows, files.select(*key), key, ["step_id"]),
+        joins.join_bounded(rows, stored, key, stored),
+        joins.join_steps(rows, stored.drop("step_id"), stored),
+    ):
+        text = plan_text(joined)
+        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert "SortMergeJoin" in plan_text(number_lines(lines, orders))
