@@ -36,10 +36,36 @@ def _text(head: str, number: Column | str) -> Column:
     return F.concat(F.lit(head), col.cast("string"))
 
 
+# Lines of an order that a task may number at once; longer orders are divided.
+LINES_AT_ONCE = 100_000
+
+
 def number_lines(lines: DataFrame, per_order: DataFrame) -> DataFrame:
     """Number the lines of each order (``rn``), count them (``n``), add order columns.
 
-    An order may hold a large part of all lines, so no window sees a whole order.
+    An order may hold a large part of all lines.  The few orders of more than ``LINES_AT_ONCE``
+    lines are counted out first and divided; the lines of all others are shuffled once, by order.
+    """
+    lines = lines.where("l_orderkey IS NOT NULL")
+    counted = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_lines"))
+    long = F.broadcast(counted.where(F.col("_lines") > LINES_AT_ONCE).select("l_orderkey"))
+    order = Window.partitionBy("l_orderkey")
+    short = (
+        lines.join(long, "l_orderkey", "left_anti")
+        .withColumn("rn", F.row_number().over(order.orderBy(*LINE_ORDER)))
+        .withColumn("n", F.count(F.lit(1)).over(order).cast("int"))
+    )
+    divided = _number_divided(lines.join(long, "l_orderkey", "left_semi"))
+    # Lines without a number or a slice have no place among the others, but count.
+    numbered = short.where("l_linenumber IS NOT NULL AND l_partkey > -1").unionByName(
+        divided.select(short.columns)
+    )
+    return numbered.join(sized_by_rows(per_order, ["l_orderkey"]), "l_orderkey")
+
+
+def _number_divided(lines: DataFrame) -> DataFrame:
+    """``rn`` and ``n`` without a window over a whole order.
+
     Lines fall into slices by line number and part number, in line order; the slices
     are counted, running totals over those counts give each slice its offset, and
     only within a slice are lines numbered one by one.
@@ -58,7 +84,6 @@ def number_lines(lines: DataFrame, per_order: DataFrame) -> DataFrame:
             F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"),
             F.sum("_lines").over(Window.partitionBy("l_orderkey")).cast("int").alias("n"),
         )
-        .join(sized_by_rows(per_order, ["l_orderkey"]), "l_orderkey")
     )
     within = Window.partitionBy(*key).orderBy(*LINE_ORDER[1:])
     return (

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from guardwork import fixed
 from guardwork import operators as ops
 from guardwork.plans import joins
+from guardwork.sources import derived
 from guardwork.sources.derived import LINE_ORDER, number_lines
 
 
@@ -111,6 +112,37 @@ def test_hot_order_is_numbered_like_a_plain_window(spark, small):
     assert sorted(tuple(r) for r in numbered) == sorted(expected)
 
 
+def test_only_long_orders_are_divided(spark, monkeypatch):
+    """Short orders are numbered in one window, long ones by slices, both like a sorted list."""
+    monkeypatch.setattr(derived, "LINES_AT_ONCE", 50)
+    lines = spark.range(2_000).selectExpr(
+        "CASE WHEN id % 4 = 0 THEN 1 WHEN id % 97 <> 0 THEN id % 101 END AS l_orderkey",
+        "CASE WHEN id % 7 <> 3 THEN CAST(id % 5 AS int) END AS l_linenumber",
+        "CASE WHEN id % 11 <> 5 THEN (id * 37) % 19 - 2 END AS l_partkey",
+        *[f"(id * {i}) % 3 AS {c}" for i, c in enumerate(LINE_ORDER[2:])],
+    )
+    orders = spark.range(100).selectExpr("id AS l_orderkey", "1 AS server_id")
+    orders = orders.unionByName(orders.where("l_orderkey = 5"))
+    numbered = number_lines(lines, orders).select("l_orderkey", *LINE_ORDER, "rn", "n").collect()
+
+    def nulls_first(line):
+        return [(value is not None, value or 0) for value in line]
+
+    by_order: dict = {}
+    for r in lines.collect():
+        by_order.setdefault(r.l_orderkey, []).append(tuple(r)[1:])
+    expected = [
+        (order, *line, i + 1, len(group))
+        for order, group in by_order.items()
+        if order is not None and order < 100
+        for i, line in enumerate(sorted(group, key=nulls_first))
+        if line[0] is not None and line[1] is not None and line[1] > -1
+        for _ in range(2 if order == 5 else 1)
+    ]
+    assert len(by_order[1]) > 50 > len(by_order[2])
+    assert sorted(tuple(r) for r in numbered) == sorted(expected)
+
+
 def test_skewed_users_give_every_event_once(table, spark, no_broadcast):
     """Every event names the same user twice; each is refused once."""
     document = (
