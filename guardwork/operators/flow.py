@@ -492,8 +492,7 @@ def install_preview(
     listed = known.selectExpr(
         *JOB_KEY, "job_name", "start_step_id", "max_step_id", *_CHANGE
     )
-    has_steps = F.col("max_step_id").isNotNull()
-    rows = join_steps(steps, listed.where(has_steps), requests, how="inner").withColumn(
+    rows = join_steps(steps, listed, requests, how="right").withColumn(
         "_row", F.explode(F.expr(_BEFORE_AND_AFTER))
     )
     columns = _row_columns(steps, guard)
@@ -504,11 +503,6 @@ def install_preview(
         *[f"{sql} AS `{c}`" for c, sql in columns.items() if c not in JOB_KEY],
         "CASE _row WHEN -1 THEN 'before' ELSE 'after' END AS phase",
     )
-    stepless = listed.where(~has_steps).selectExpr(
-        *JOB_KEY, "job_name", "start_step_id", "explode(array('before', 'after')) AS phase"
-    )
-    listing = stepped.unionByName(stepless, allowMissingColumns=True).orderBy(
-        F.desc("phase"), "job_name", "server_id", "step_id"
-    )
+    listing = stepped.orderBy(F.desc("phase"), "job_name", "server_id", "step_id")
     names = dict(zip(steps.columns, names, strict=True))
     return listing.toDF(*(names.get(c, c) for c in listing.columns))

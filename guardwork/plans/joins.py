@@ -202,15 +202,25 @@ def join_steps(
     which is dropped.  When small it is broadcast and the steps stay where they are.
     Otherwise the shuffle key is (server, job, range of step ids), so that a job with
     very many steps is divided over many tasks; nearly all jobs have a single range.
+
+    ``how="right"`` keeps the steps of those jobs, and a row without a step for each job without a
+    ``max_step_id``.
     """
     keys = ["server_id", "job_id"]
     if fits_broadcast(bound):
+        if how == "right":
+            stepless = per_job.where("max_step_id IS NULL").drop("max_step_id")
+            found = join_steps(steps, per_job.where("max_step_id IS NOT NULL"), bound, "inner")
+            return found.unionByName(stepless, allowMissingColumns=True)
         return steps.join(F.broadcast(per_job.drop("max_step_id")), keys, how)
     last_range = F.expr(f"(max_step_id - 1) div {STEPS_PER_RANGE}")
     ranged_jobs = sized_by_rows(per_job, keys).withColumn(
-        "_range", F.explode(F.sequence(F.lit(0).cast("bigint"), last_range.cast("bigint")))
+        "_range", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), last_range.cast("bigint")))
     ).drop("max_step_id")
     ranged_steps = steps.withColumn(
         "_range", F.expr(f"(step_id - 1) div {STEPS_PER_RANGE}").cast("bigint")
     )
-    return ranged_steps.join(ranged_jobs, [*keys, "_range"], how).drop("_range")
+    joined = ranged_steps.join(ranged_jobs, [*keys, "_range"], how)
+    if how == "right":
+        joined = joined.where("step_id IS NOT NULL OR _range IS NULL")  # not the ranges in a gap
+    return joined.drop("_range")

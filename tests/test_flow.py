@@ -340,3 +340,26 @@ def test_facts_of_odd_step_ids(spark):
         assert found.n_steps == len(ids)
         assert found.repeats == (len(set(ids)) < len(ids))
         assert (found.min_step_id, found.max_step_id) == (min(known, default=None), max(known, default=None))
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_preview_lists_jobs_without_steps_from_the_same_pass(table, spark, monkeypatch, request, broadcast):
+    """Ranges in a gap of the step ids add no row, and no second listing is united."""
+    from guardwork.plans import joins
+
+    monkeypatch.setattr(joins, "STEPS_PER_RANGE", 2)
+    if not broadcast:
+        request.getfixturevalue("no_broadcast")
+    step = ("s", "TSQL", "x", 1, 0, 2, 0, "DBA")
+    jobs = table("jobs", (1, 1, "Gap", 1), (1, 2, "Empty", 1), (1, 3, "No ids", 1), (1, 4, "Fine", 1))
+    steps = table("steps", (1, 1, 7, *step), (1, 1, 1, *step), (1, 3, None, *step), (1, 4, 1, *step))
+    requests = table("requests", *[(1, name, "A") for name in ("Gap", "Empty", "No ids", "Fine", "None")])
+    listing = ops.install_preview(requests, jobs, steps, table("run_config", (1, "A", "Sales", True)))
+    got = sorted((r.job_name, r.phase, r.step_id or 0, r.start_step_id) for r in listing.collect())
+    assert got == [
+        ("Empty", "after", 0, 1), ("Empty", "before", 0, 1),
+        ("Fine", "after", 1, 1), ("Fine", "after", 2, 1), ("Fine", "after", 3, 1), ("Fine", "before", 1, 1),
+        ("Gap", "after", 1, 1), ("Gap", "after", 7, 1), ("Gap", "before", 1, 1), ("Gap", "before", 7, 1),
+        ("No ids", "after", 0, 1), ("No ids", "before", 0, 1),
+    ]
+    assert broadcast or "Union" not in listing._jdf.queryExecution().optimizedPlan().toString()
