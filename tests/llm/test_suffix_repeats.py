@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from guardwork.llm import suffix_repeats as sr
@@ -112,5 +113,17 @@ def test_a_collision_is_seen_and_settled_by_bytes(monkeypatch):
     assert flags.tolist() == [True, False, True]
 
 
+def test_a_large_batch_is_sorted_in_lots(monkeypatch):
+    """Whole anchors of few runs at a time, however many rows a batch has."""
+    monkeypatch.setattr(sr, "_SORT_RUNS", 10)
+    rng = random.Random(17)
+    anchors = np.sort(np.array([rng.randrange(60) for _ in range(400)]))
+    rows = pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(range(400))], names=["anchor", "row"])
+    lots = [lot.to_pydict() for lot in sr._lots(iter([rows.slice(0, 310), rows.slice(310, 1), rows.slice(311)]))]
+    assert sum((lot["row"] for lot in lots), []) == list(range(400))
+    assert sum((sorted(set(lot["anchor"])) for lot in lots), []) == sorted(set(anchors.tolist()))
+    assert max(len(lot["row"]) for lot in lots) < 10 + max(Counter(anchors.tolist()).values())
+
+
 def test_empty_table(documents):
     assert sr.repeats_report(documents(), 400).collect() == []
