@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,10 +43,12 @@ from guardwork.llm.words import text_bytes
 #: still used come back first.
 MOST_STATES = 20_000
 MOST_MISSED = 200_000
-MOST_PIECES = 300_000
+MOST_PIECES = 100_000
 MOST_AGREED = 200_000
 MOST_WORDS = 300_000
 LONGEST_REMEMBERED = 48
+#: Bytes of texts that are encoded together; a batch from Spark holds many times more.
+PART_BYTES = 1 << 20
 
 LAST = 1 << 62  # after every rank
 UNDETERMINED = ((), -1)
@@ -260,24 +263,35 @@ class _Pieces(dict):
         super().__init__()
         self.transducer = transducer
 
+    def alone(self, piece: str) -> bytes:
+        """The ids, not remembered here."""
+        return array("i", self.transducer.encode(piece.encode())).tobytes()
+
     def __missing__(self, piece: str) -> bytes:
-        ids = array("i", self.transducer.encode(piece.encode())).tobytes()
+        ids = self.alone(piece)
         if len(piece) <= LONGEST_REMEMBERED and len(self) < MOST_PIECES:
             self[piece] = ids
         return ids
 
 
 class _Spaced(dict):
-    """Ids by word, of the word with one space in front."""
+    """Ids by word, of the word with one space in front; a word of one piece is not remembered as
+    that piece besides."""
 
-    def __init__(self, encode):
+    def __init__(self, split, pieces: _Pieces):
         super().__init__()
-        self.encode = encode
+        self.split = split
+        self.pieces = pieces
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(" " + word)
-        if len(word) <= LONGEST_REMEMBERED and len(self) < MOST_WORDS:
-            self[word] = ids
+        found = self.split(" " + word)
+        if len(word) > LONGEST_REMEMBERED or len(self) >= MOST_WORDS:
+            return b"".join(map(self.pieces.__getitem__, found))
+        if len(found) == 1:
+            ids = self.pieces.get(found[0]) or self.pieces.alone(found[0])
+        else:
+            ids = b"".join(map(self.pieces.__getitem__, found))
+        self[word] = ids
         return ids
 
 
@@ -369,7 +383,7 @@ def worker_encoder(path: str, pattern: str):
 
     if pattern not in SPLITS_AT_SPACES:
         return encode
-    spaced = _Spaced(encode)
+    spaced = _Spaced(compiled.findall, pieces)
 
     def encode_words(text: str) -> bytes:
         if _SPACE_BEFORE_SPACE.search(text):
@@ -392,15 +406,18 @@ def id_lists(encoded: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def _encoded_batches(texts: list[bytes], encode, most_ids: int = 4_000_000) -> Iterator[tuple[int, pa.ListArray]]:
-    """Rows done so far and their ids, some at a time so that no array grows with the batch."""
-    part, size = [], 0
-    for i, text in enumerate(texts):
-        part.append(encode(text.decode("utf-8", "replace")))
-        size += len(part[-1]) // 4
-        if size >= most_ids or i + 1 == len(texts):
-            yield i + 1, id_lists(part)
-            part, size = [], 0
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of `PART_BYTES` of texts at most, or of one text: ids and texts are many times larger
+    as Python's objects."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index("text"))).fill_null(0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            end = max(first + 1, int(np.searchsorted(ends, before + PART_BYTES, side="right")))
+            yield batch.slice(first, end - first)
+            first = end
 
 
 def encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -> DataFrame:
@@ -413,18 +430,15 @@ def encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = worker_encoder(path, pattern), worker_decoder(path) if decode else None
-        for batch in batches:
-            texts = text_bytes(batch.column(batch.schema.get_field_index("text")))
-            done = 0
-            for end, ids in _encoded_batches(texts, encoder):
-                part = batch.slice(done, end - done)
-                columns = [part.column(batch.schema.get_field_index(f.name)) for f in kept] + [ids]
-                if decoder is not None:
-                    values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
-                    spans = zip(offsets[:-1], offsets[1:], strict=True)
-                    columns.append(pa.array([decoder.decode(values[a:b].tolist()) for a, b in spans], pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-                done = end
+        for part in _parts(batches):
+            texts = text_bytes(part.column(part.schema.get_field_index("text")))
+            ids = id_lists([encoder(text.decode("utf-8", "replace")) for text in texts])
+            columns = [part.column(part.schema.get_field_index(f.name)) for f in kept] + [ids]
+            if decoder is not None:
+                values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
+                spans = zip(offsets[:-1], offsets[1:], strict=True)
+                columns.append(pa.array([decoder.decode(values[a:b].tolist()) for a, b in spans], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.mapInArrow(run, schema)
 

@@ -5,11 +5,14 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import types as T
 
-from guardwork.llm import byte_bpe
+from guardwork.llm import byte_bpe, words
 from guardwork.llm.queries import LLM_QUERIES
+from guardwork.llm.worker_memory import at_work
 
 
 @pytest.fixture(scope="module")
@@ -111,6 +114,44 @@ def test_other_columns_stay(awkward, byte_ranks):
     assert [r.decoded for r in coded.collect()] == [d.text or "" for d in awkward.collect()]
 
 
+class Here:
+    """Runs in this process what Spark would run on its batches."""
+
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_batches_are_encoded_in_small_parts(byte_ranks, library):
+    texts = ["two words " * 40_000, None, "", *["naïve 東京 " * 9_000] * 12, "one text of more " * 90_000, "end"]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    run = byte_bpe.encode(Here(), byte_ranks, public_tokenizers.PATTERN, decode=True)
+    parts = list(run(iter([batch, batch.slice(0, 0), batch.slice(1, 3)])))
+    for part in parts:
+        assert part.num_rows == 1 or sum(len((t or "").encode()) for t in part["text"].to_pylist()) <= 1 << 20
+    rows = [row for part in parts for row in part.to_pylist()]
+    assert [r["doc_id"] for r in rows] == [*range(len(texts)), 1, 2, 3]
+    for row in rows:
+        assert row["ids"] == library.encode_ordinary(row["text"] or "")
+        assert row["decoded"] == (row["text"] or "")
+
+
+def test_words_are_remembered_once(byte_ranks):
+    transducer = byte_bpe.Transducer(byte_bpe.read_ranks(byte_ranks))
+    pieces = byte_bpe._Pieces(transducer)
+    spaced = byte_bpe._Spaced(lambda text: [text] if text.isalnum() or text[1:].isalnum() else list(text), pieces)
+    assert spaced["word"] == pieces.alone(" word")
+    assert "word" in spaced and " word" not in pieces
+
+
+def test_tables_of_words_go_with_their_operator():
+    at_work("near_duplicates")
+    words.powers(10)
+    at_work("byte_bpe")
+    assert words._powers.cache_info().currsize == 0
+
+
 def test_empty_table(documents, byte_ranks):
     assert byte_bpe.round_trip(documents(), byte_ranks, public_tokenizers.PATTERN).collect() == []
 
