@@ -24,7 +24,14 @@ from guardwork import fixed
 from guardwork.functions.text import ci
 from guardwork.operators.guard import DEFAULT_GUARD, Guard
 from guardwork.operators.requests import NAME_KEY, named_jobs, named_requests
-from guardwork.plans.joins import join_bounded, join_steps, lookup, only_matching, sized_by_rows
+from guardwork.plans.joins import (
+    join_bounded,
+    join_steps,
+    lookup,
+    lookup_repeated,
+    only_matching,
+    sized_by_rows,
+)
 from guardwork.schemas import (
     CARRIED_STEP_COLUMNS,
     HISTORY_STEP_COLUMNS,
@@ -241,7 +248,7 @@ def _per_request(requests: DataFrame, plan: DataFrame) -> DataFrame:
     outcome = plan.select(*NAME_KEY, "job_id", "reason")
     asked = named_requests(requests)
     names = [c for c in ("server_id", "job_name", "config_name") if c in requests.columns]
-    return lookup(asked, outcome, NAME_KEY, spread=names, bound=requests).select(
+    return lookup_repeated(asked, outcome, NAME_KEY, spread=names, how="left", bound=requests).select(
         *names, "job_id", F.coalesce("reason", F.lit(MISSING_JOB)).alias("reason")
     )
 

@@ -118,6 +118,7 @@ def lookup_repeated(
     on: Sequence[str],
     spread: Sequence[str],
     how: str = "inner",
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """``lookup`` for rows that can be counted cheaply first.
 
@@ -125,10 +126,10 @@ def lookup_repeated(
     the table are repeated.  They are found by a frequent-items sketch: its list holds a key
     a shuffle partition at most, and every key with more than a few partitions' share of the
     rows.  What the sketch gets wrong changes how keys are dealt out, never the result.  Rows without
-    a key match nothing; they are divided as well.
+    a key match nothing; they are divided as well.  ``bound`` is that of ``lookup``.
     """
     on = list(on)
-    if fits_broadcast(table):
+    if fits_broadcast(table if bound is None else bound):
         return rows.join(F.broadcast(table), on, how)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     heavy = heavy_keys(rows, on, parts)
@@ -153,6 +154,8 @@ def lookup_repeated(
         )
     )
     divided, repeated = (df.drop("_heavy", "_key_hash") for df in (divided, repeated))
+    if sized_by_rows(table, on) is not table:
+        repeated = repeated.hint("merge")
     return divided.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

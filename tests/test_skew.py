@@ -174,3 +174,24 @@ def test_repeated_and_missing_names_are_divided(spark, no_broadcast, monkeypatch
     # With nothing heavy every key keeps one row.
     calm = rows.where("_name <> 'hot'")
     assert joins.lookup_repeated(calm, table, on, ["id"]).count() == 1
+
+
+def test_outcomes_are_repeated_for_hot_requests_alone(spark, no_broadcast, monkeypatch):
+    """Checks: a job that is asked for very often is divided; the outcomes of others have one row."""
+    monkeypatch.setattr(joins, "HEAVY_ROWS", 100)
+    jobs = spark.range(1, 6).selectExpr(
+        "1 AS server_id", "id AS job_id", "concat('Job ', id) AS job_name", "1 AS start_step_id"
+    )
+    steps = spark.createDataFrame([], "server_id int, job_id long, step_id int, step_name string, subsystem string, "
+        "command string, on_success_action int, on_success_step_id int, on_fail_action int, on_fail_step_id int, "
+        "database_name string")
+    requests = spark.range(1_000).selectExpr(
+        "1 AS server_id", "CASE id % 3 WHEN 0 THEN 'JOB 1 ' WHEN 1 THEN concat('Job ', id) END AS job_name"
+    )
+    checks = ops.remove_check(requests, jobs, steps)
+    sixteen = ",".join(map(str, range(16)))
+    assert sixteen not in checks._jdf.queryExecution().optimizedPlan().toString().replace(" ", "")
+    found = {(r.job_name, r.reason): r["count"] for r in checks.groupBy("job_name", "reason").count().collect()}
+    assert found["JOB 1 ", "duplicate_request"] == 334
+    assert found["Job 4", "bad_step_1"] == 1
+    assert sum(found.values()) == 1_000
