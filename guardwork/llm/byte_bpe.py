@@ -5,9 +5,9 @@ neighbours are the encoding of their concatenation.  So a nondeterministic trans
 read bytes while it spells a token along the vocabulary's trie, guess where that token
 ends, and go on if its neighbour agrees; one guess alone survives to the end.  The
 transducer is made deterministic as texts need it: a state is the set of guesses still
-possible, each with the tokens it would emit.  Tokens on which all guesses agree are
-emitted, after a lookahead of one token's length at most.  States and steps are remembered
-per Python worker.
+possible.  At any place one of them at most ends a token, which goes with the state, so the
+tokens are read back from the end of the piece, each from where the one after it starts.
+States and steps are remembered per Python worker.
 
 Decoding.  Tokens end anywhere within a character, so the decoder is an incremental UTF-8
 state machine over bytes.  The effect of a whole token on a state is remembered.  Malformed
@@ -41,7 +41,7 @@ from guardwork.llm.words import text_bytes
 #: pieces are worked out each time, by the guesses themselves where a state is missing, with the
 #: same results.  Once that happened `MOST_MISSED` times, all states give way: those that are
 #: still used come back first.
-MOST_STATES = 20_000
+MOST_STATES = 200_000
 MOST_MISSED = 200_000
 MOST_PIECES = 100_000
 MOST_AGREED = 200_000
@@ -51,8 +51,9 @@ LONGEST_REMEMBERED = 48
 PART_BYTES = 1 << 20
 
 LAST = 1 << 62  # after every rank
-UNDETERMINED = ((), -1)
-Guess = tuple[int, int]  # last token (-1: none), trie node of the token being spelled
+UNDETERMINED = -1
+_NODE_BITS = 32
+_NODE = (1 << _NODE_BITS) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -130,6 +131,7 @@ class Transducer:
                     self.token.append(-1)
                 node = further
             self.token[node] = rank
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.merges = Merges(ranks)
         self.agreed: dict[int, bool] = {}  # by last * 2^24 + token
         self.forget()
@@ -137,18 +139,24 @@ class Transducer:
     def forget(self) -> None:
         """Back to the first state."""
         self.missed = 0
-        self.ids: dict[tuple, int] = {}
-        self.guesses: list[tuple] = []
-        self.steps: dict[int, tuple[tuple[int, ...], int]] = {}  # by state * 256 + byte
-        self.ends: list[tuple[int, ...] | None] = []
-        self.state((((-1, 0), ()),))
-
-    def state(self, guesses: tuple) -> int:
-        if guesses not in self.ids:
-            self.ids[guesses] = len(self.guesses)
-            self.guesses.append(guesses)
-            self.ends.append(None)
-        return self.ids[guesses]
+        # A guess is the last token + 1 (0: none), and the trie node of the token being spelled.
+        self.ids: dict[bytes, int] = {}
+        self.guesses: list[bytes] = []  # of each state, those that began first in front
+        self.steps: dict[int, int] = {}  # by state * 256 + byte
+        self.ended: list[int] = []  # the token that ends in each state
+        self.state(array("q", [0]))
+
+    def state(self, guesses: array) -> int:
+        """The state of these guesses; UNDETERMINED if no further state may be made."""
+        key = guesses.tobytes()
+        known = self.ids.get(key)
+        if known is None:
+            if len(self.guesses) >= MOST_STATES:
+                return UNDETERMINED
+            known = self.ids[key] = len(self.guesses)
+            self.guesses.append(key)
+            self.ended.append(self.end(guesses))
+        return known
 
     def agrees(self, last: int, token: int) -> bool:
         """Is (last, token) the encoding of its bytes?  For -1: is token that of its own?"""
@@ -162,47 +170,43 @@ class Transducer:
                 self.agreed[last << 24 | token] = known
         return known
 
-    def after(self, guesses, byte: int) -> dict[Guess, tuple[int, ...]]:
-        """The guesses that survive the byte, with the tokens that each has yet to emit."""
-        found: dict[Guess, tuple[int, ...]] = {}
-        first = self.child.get(byte)
-        for (last, node), pending in guesses:
-            further = self.child.get(node << 8 | byte)
+    def end(self, guesses: array) -> int:
+        """The token of the one guess that holds if the piece ends here; -1 if none does."""
+        found, token_at, agreed = -1, self.token, self.agreed.get
+        for guess in guesses:
+            token = token_at[guess & _NODE]
+            if token >= 0:
+                last = (guess >> _NODE_BITS) - 1
+                known = agreed(last << 24 | token)
+                if known or known is None and self.agrees(last, token):
+                    if found >= 0:
+                        raise ValueError("the vocabulary's ranks do not make a byte-level BPE")
+                    found = token
+        return found
+
+    def after(self, guesses: array, ended: int, byte: int) -> array:
+        """The guesses that survive the byte, and the one of a token that starts with it."""
+        child = self.child.get
+        found = array("q")
+        for guess in guesses:
+            node = guess & _NODE
+            further = child(node << 8 | byte)
             if further is not None:
-                found[last, further] = pending
-            token = self.token[node]
-            if token >= 0 and first is not None and self.agrees(last, token):
-                found[token, first] = (*pending, token)
+                found.append(guess - node + further)
+        if ended >= 0:
+            first = child(byte)
+            if first is not None:
+                found.append(ended + 1 << _NODE_BITS | first)
         if not found:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
         return found
 
-    def step(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
-        """Tokens emitted, and the next state; UNDETERMINED if no further state may be made."""
-        after = self.after(self.guesses[state], byte)
-        shortest, *others = sorted(after.values(), key=len)
-        common = 0
-        while common < len(shortest) and all(p[common] == shortest[common] for p in others):
-            common += 1
-        rest = tuple(sorted((guess, pending[common:]) for guess, pending in after.items()))
-        if rest not in self.ids and len(self.guesses) >= MOST_STATES:
-            self.steps[state << 8 | byte] = UNDETERMINED
-            return UNDETERMINED
-        result = shortest[:common], self.state(rest)
-        self.steps[state << 8 | byte] = result
+    def step(self, state: int, byte: int) -> int:
+        """The next state; UNDETERMINED if no further state may be made."""
+        guesses = array("q", self.guesses[state])
+        result = self.steps[state << 8 | byte] = self.state(self.after(guesses, self.ended[state], byte))
         return result
 
-    def end(self, guesses) -> tuple[int, ...]:
-        """Tokens of the one guess that holds if the piece ends here."""
-        found = [
-            (*pending, self.token[node])
-            for (last, node), pending in guesses
-            if self.token[node] >= 0 and self.agrees(last, self.token[node])
-        ]
-        if len(found) != 1:
-            raise ValueError("the vocabulary's ranks do not make a byte-level BPE")
-        return found[0]
-
     def encode(self, piece: bytes) -> list[int]:
         if not piece:
             return []
@@ -211,49 +215,48 @@ class Transducer:
             return [whole]
         if self.missed >= MOST_MISSED:
             self.forget()
-        out: list[int] = []
-        state, steps = 0, self.steps
-        for i, byte in enumerate(piece):
-            found = steps.get(state << 8 | byte) or self.step(state, byte)
-            if found is UNDETERMINED:
+        state, steps, ended = 0, self.steps, self.ended
+        ends: list[int] = []  # the token that ends with each byte
+        for byte in piece:
+            following = steps.get(state << 8 | byte)
+            if following is None:
+                following = self.step(state, byte)
+            if following < 0:
                 self.missed += 1
-                return out + self.undetermined(self.guesses[state], piece[i:])
-            tokens, state = found
-            if tokens:
-                out += tokens
-        tokens = self.ends[state]
-        if tokens is None:
-            tokens = self.ends[state] = self.end(self.guesses[state])
-        out += tokens
+                ends += self.undetermined(state, piece[len(ends) :])
+                break
+            state = following
+            ends.append(ended[state])
+        out: list[int] = []
+        at, sizes = len(piece), self.sizes
+        while at:
+            token = ends[at - 1]
+            if token < 0:
+                raise ValueError("the vocabulary's ranks do not make a byte-level BPE")
+            out.append(token)
+            at -= sizes[token]
+        out.reverse()
         return out
 
-    def undetermined(self, guesses, rest: bytes) -> list[int]:
-        """Reads on with the guesses themselves; one of them at most ends a token at any place."""
-        child, token_at, agreed = self.child.get, self.token, self.agreed.get
-        live = [(last, node, (None, pending)) for (last, node), pending in guesses]
+    def undetermined(self, state: int, rest: bytes) -> list[int]:
+        """The tokens that end with each further byte, by the guesses themselves until they are a state again."""
+        guesses, ended = array("q", self.guesses[state]), self.ended[state]
+        state, steps, ends = UNDETERMINED, self.steps, []
         for byte in rest:
-            going, ended = [], False
-            for last, node, emitted in live:
-                token = token_at[node]
-                if token >= 0 and not ended:
-                    known = agreed(last << 24 | token)
-                    if known or known is None and self.agrees(last, token):
-                        ended, new = True, (token, child(byte), (emitted, (token,)))
-                further = child(node << 8 | byte)
-                if further is not None:
-                    going.append((last, further, emitted))
-            if ended:
-                going.append(new)
-            live = going
-        for last, node, emitted in live:
-            token = token_at[node]
-            if token >= 0 and self.agrees(last, token):
-                parts = [(token,)]
-                while emitted is not None:
-                    emitted, part = emitted
-                    parts.append(part)
-                return [t for part in reversed(parts) for t in part]
-        raise ValueError("the vocabulary's ranks do not make a byte-level BPE")
+            following = UNDETERMINED
+            if state >= 0:
+                following = steps.get(state << 8 | byte)
+                if following is None:
+                    following = self.step(state, byte)
+                if following < 0:
+                    guesses = array("q", self.guesses[state])
+            if following < 0:
+                guesses = self.after(guesses, ended, byte)
+                following = self.ids.get(guesses.tobytes(), UNDETERMINED)
+            state = following
+            ended = self.end(guesses) if state < 0 else self.ended[state]
+            ends.append(ended)
+        return ends
 
 
 class _Pieces(dict):

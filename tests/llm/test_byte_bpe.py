@@ -54,6 +54,27 @@ def test_transducer_encodes_any_bytes(byte_ranks, library):
         assert transducer.encode(piece) == library._encode_single_piece(piece)
 
 
+def words_of_syllables(rng, n):
+    parts = "th he an in er on re ed nd ou ea ti es or st en at to nt ha al le is ng ing ion ble sh wh ly and the tion".split()
+    return [" " + "".join(rng.choices(parts, k=rng.randint(2, 5))) for _ in range(n)]
+
+
+def test_states_suffice_for_many_words(byte_ranks, library):
+    """States hold guesses alone; with the tokens that each has yet to emit there were many times more."""
+    transducer = byte_bpe.Transducer(byte_bpe.read_ranks(byte_ranks))
+    for word in words_of_syllables(random.Random(5), 25_000):
+        assert transducer.encode(word.encode()) == library._encode_single_piece(word.encode())
+    assert transducer.missed == 0
+
+
+def test_guesses_that_are_a_state_again_go_on_there(byte_ranks, library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "MOST_STATES", 300)
+    transducer = byte_bpe.Transducer(byte_bpe.read_ranks(byte_ranks))
+    for word in words_of_syllables(random.Random(6), 2_000):
+        assert transducer.encode(word.encode()) == library._encode_single_piece(word.encode())
+    assert transducer.missed and len(transducer.guesses) == 300
+
+
 def test_pairs_agree_as_merging_says(byte_ranks, library):
     rng = random.Random(3)
     transducer = byte_bpe.Transducer(byte_bpe.read_ranks(byte_ranks))
